@@ -65,7 +65,7 @@ def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType,
     kept = [c for c in keep if c not in outputs.names]
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(name))
     schema = T.StructType([*[source.schema[c] for c in kept], *outputs.fields])
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema, timestamp_utc=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
