@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, piece
+from . import decontam, langid, piece, quality, toxicity
 from .common import table
 
 TOKENIZER_VARIABLE = "TICKLOOM_PIECE_MODEL"
@@ -21,6 +21,14 @@ def piece_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.tokenize(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"], ids=None, digests=True)
 
@@ -29,6 +37,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}
 
