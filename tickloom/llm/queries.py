@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, piece, quality, toxicity
+from . import decontam, langid, piece, quality, secretscan, toxicity, urlfilter
 from .common import table
 
 TOKENIZER_VARIABLE = "TICKLOOM_PIECE_MODEL"
@@ -25,6 +25,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.digest(table(spark, sf_dir, "pages"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents"))
 
@@ -46,4 +54,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": urlfilter.SQL}
