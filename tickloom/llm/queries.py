@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, piece, quality, secretscan, toxicity, urlfilter
+from . import decontam, embdup, langid, piece, quality, secretscan, toxicity, urlfilter
 from .common import table
 
 TOKENIZER_VARIABLE = "TICKLOOM_PIECE_MODEL"
@@ -49,8 +49,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}
+    return {k: f for k, f in globals().items() if k[:2] == "op" and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
