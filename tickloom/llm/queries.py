@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, embdup, langid, neardup, piece, quality, secretscan, toxicity, urlfilter
+from . import decontam, embdup, langid, neardup, piece, quality, secretscan, substrdup, toxicity, urlfilter
 from .common import table
 
 TOKENIZER_VARIABLE = "TICKLOOM_PIECE_MODEL"
@@ -41,6 +41,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrdup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.tokenize(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"], ids=None, digests=True)
 
