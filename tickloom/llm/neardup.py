@@ -273,7 +273,8 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, id_col: str, text: str
 
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / chunk).cast("long").alias("chunks"))
     placed = clusters.join(sizes, "component").select(F.col("id").alias("rep"), F.col("component").alias("cluster"), "chunks")
-    texts = docs.select(F.col(id_col).alias("rep"), F.col(text).alias("text")).join(placed, "rep").dropDuplicates(["rep"])
+    # the clustered documents grow with the table, so they are never broadcast: one plan at every size
+    texts = docs.select(F.col(id_col).alias("rep"), F.col(text).alias("text")).join(placed.hint("merge"), "rep").dropDuplicates(["rep"])
     sets = stored(map_text(texts, "text", ["rep", "cluster", "chunks"], SETS, kernel))
     mine = F.pmod(F.xxhash64("rep"), F.col("chunks"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
