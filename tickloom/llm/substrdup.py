@@ -315,7 +315,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     rows = found.select("kid", "th", F.explode("anchors").alias("a")).select("a.q", "a.c1", "a.c2", "kid", "th", "a.p", "a.lo", "a.hi")
     met = stored(rows.repartition("q").sortWithinPartitions("q", "c1", "c2").mapInArrow(_meet, MET))
     asked = met.where("kind = 1").groupBy("kid", "th").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("asked"))
-    texts = _packed(docs, id_col, text).select("kid", "th", "z").join(asked, ["kid", "th"]).dropDuplicates(["kid", "th"])
+    texts = _packed(docs, id_col, text).select("kid", "th", "z").join(asked.hint("merge"), ["kid", "th"]).dropDuplicates(["kid", "th"])
     many = [r.q for r in met.where("kind = 1").groupBy("q").count().where(F.col("count") > hot).select("q").limit(100_000).collect()]
     context = texts.select("kid", "th", "z", "asked").mapInArrow(_contexts(length), "q long, kid long, th long, lo int, ctx binary")
     out = met.where("kind = 0").select("kid", "th", "lo", "hi")
@@ -346,7 +346,7 @@ RESULT = "id {id}, n_bytes long, n_removed long, n_spans long, kept_sha256 strin
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, kept_bytes: bool = False, hot: int = HOT) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, and with ``kept_bytes`` the remaining bytes as ``kept``."""
     spans = repeated_windows(docs, id_col, text, length, hot).groupBy("kid", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    rows = _packed(docs, id_col, text).join(spans, ["kid", "th"], "left").select("id", "z", F.coalesce("spans.lo", F.array().cast("array<int>")).alias("lo"), F.coalesce("spans.hi", F.array().cast("array<int>")).alias("hi"))
+    rows = _packed(docs, id_col, text).join(spans.hint("merge"), ["kid", "th"], "left").select("id", "z", F.coalesce("spans.lo", F.array().cast("array<int>")).alias("lo"), F.coalesce("spans.hi", F.array().cast("array<int>")).alias("hi"))
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
