@@ -23,7 +23,8 @@ from .common import stored
 from .components import components
 
 THRESHOLD, SHARD_ROWS, RECALL, AUDIT = 0.98, 8192, 0.999, 64
-M, M0, EF_BUILD, EF_SEARCH, TOP = 12, 32, 40, 24, 384
+#: Links of a node, more that only point at nodes which few others point at, beams of building and of the first search, entries from one layer to the next, size of the top layer.
+LINKS, EXTRA, EF_BUILD, EF_SEARCH, DOWN, TOP = 32, 8, 32, 16, 3, 256
 #: Queries side by side; how far below the threshold a vector is still followed.
 BLOCK, MARGIN = 512, 0.015
 
@@ -46,17 +47,34 @@ class SmallWorld:
             self._layer(order, size)
 
     def _layer(self, order: np.ndarray, size: int) -> None:
-        width = M0
-        links = np.full((len(self.x), width), -1, np.int64)
+        links = np.full((len(self.x), LINKS), -1, np.int64)
         self.links.append(links)
         done = len(self.top)
         self._connect(links, order[:done], *self._exact(order[:done], order[:done]))
         while done < size:
             batch = order[done : min(size, done + min(1024, max(128, done)))]
-            ids, sims = self._near(self.x[batch], EF_BUILD, None, len(self.links))
+            ids, sims = self._near(self.x[batch], EF_BUILD, len(self.links))
             mine, own = self._exact(batch, batch)
             self._connect(links, batch, np.concatenate([ids, mine], 1), np.concatenate([sims, own], 1))
             done += len(batch)
+        self.links[-1] = self._reachable(links, order[:size])
+
+    def _reachable(self, links: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Links with EXTRA columns in which nodes that pruning left with fewer than four links to them are pointed at."""
+        to = links[rows].ravel()
+        inward = np.bincount(to[to >= 0], minlength=len(self.x))
+        more = np.full((len(self.x), EXTRA), -1, np.int64)
+        used = np.zeros(len(self.x), np.int64)
+        for u in rows[inward[rows] < 4].tolist():
+            given = 0
+            for v in links[u].tolist():
+                if v >= 0 and used[v] < EXTRA and u not in links[v]:
+                    more[v, used[v]] = u
+                    used[v] += 1
+                    given += 1
+                    if given == 3:
+                        break
+        return np.concatenate([links, more], 1)
 
     def _exact(self, rows: np.ndarray, among: np.ndarray, k: int = EF_BUILD) -> tuple[np.ndarray, np.ndarray]:
         sims = self.x[rows] @ self.x[among].T
@@ -75,7 +93,7 @@ class SmallWorld:
         sims[:, 1:][same] = -2
         k = ids.shape[1]
         v = self.x[np.maximum(ids, 0)]
-        between = np.einsum("bkd,bjd->bkj", v, v)
+        between = v @ v.transpose(0, 2, 1)
         chosen = np.zeros(ids.shape, bool)
         count = np.zeros(len(ids), np.int64)
         for j in range(k):
@@ -114,97 +132,113 @@ class SmallWorld:
             s = np.where(cand >= 0, np.einsum("bkd,bd->bk", self.x[np.maximum(cand, 0)], self.x[nodes[part]]), -2)
             links[nodes[part]] = self._select(cand, s, links.shape[1])
 
-    def _near(self, q: np.ndarray, ef: int, own: np.ndarray | None, layers: int) -> tuple[np.ndarray, np.ndarray]:
+    def _near(self, q: np.ndarray, ef: int, layers: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``ef`` best vectors that the beams of the queries see; -1 where there are fewer."""
         ids, sims = [], []
         for at in range(0, len(q), BLOCK):
-            dense = self.search(q[at : at + BLOCK], ef, None if own is None else own[at : at + BLOCK], layers=layers)
-            k = min(ef, dense.shape[1])
-            part = np.argpartition(-dense, k - 1, axis=1)[:, :k]
-            got = np.take_along_axis(dense, part, 1)
-            ids.append(np.where(got > -2, part, -1))
-            sims.append(got)
+            part = q[at : at + BLOCK]
+            got = _ranked(len(part), ef, *self.search(part, ef, layers=layers))
+            ids.append(got[0])
+            sims.append(got[1])
         return np.concatenate(ids), np.concatenate(sims)
 
-    def search(self, q: np.ndarray, ef: int, own: np.ndarray | None = None, floor: float = 2.0, layers: int | None = None) -> np.ndarray:
-        """Cosines of each query with the vectors its beam has visited (-2: not visited).
+    def search(self, q: np.ndarray, ef: int, own: np.ndarray | None = None, floor: float = 2.0, layers: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, node, cosine) of all that the beams of the queries have visited, each pair once.
 
         The beam goes down the layers. It expands what is among the ``ef`` best so far, and, so that a dense group is
         seen whole, all that reaches ``floor``. ``own``: nodes of the queries themselves (-1: none), where they start too.
         """
         layers = len(self.links) if layers is None else layers
         n, m = len(self.x), len(q)
-        sim = np.full((m, n), -2.0)
+        seen = np.zeros(m * n, bool)
+        claim = np.empty(m * n, np.int32)
         start = q @ self.x[self.top].T
-        sim[:, self.top] = start
-        k = min(4, len(self.top))
-        entry = self.top[np.argpartition(-start, k - 1, axis=1)[:, :k]] if k else np.zeros((m, 0), np.int64)
-        row, node = np.repeat(np.arange(m), k), entry.ravel()
+        found = [(np.repeat(np.arange(m), len(self.top)), np.tile(self.top, m), start.ravel())]
+        seen[found[0][0] * n + found[0][1]] = True
         for j, links in enumerate(self.links[:layers]):
-            wide = ef if j == layers - 1 else 8
+            wide = ef if j == layers - 1 else DOWN
+            row, node, sim = (np.concatenate(c) for c in zip(*found))
+            ids, best = _ranked(m, wide, row, node, sim)
             if j == layers - 1 and own is not None:
                 has = np.flatnonzero(own >= 0)
-                row, node = np.concatenate([row, has]), np.concatenate([node, own[has]])
-                sim[has, own[has]] = 1.0
-            best = np.sort(sim[:, self.top], axis=1)[:, ::-1][:, :wide] if j == 0 else np.sort(best, axis=1)[:, ::-1][:, :wide]
-            if best.shape[1] < wide:
-                best = np.pad(best, ((0, 0), (0, wide - best.shape[1])), constant_values=-2.0)
-            seen = np.unique(row * n + node)
-            expanded = seen
+                key = has * n + own[has]
+                fresh = has[~seen[key]]
+                seen[key] = True
+                if len(fresh):
+                    ones = np.ones(len(fresh))
+                    found.append((fresh, own[fresh], ones))
+                    best = _merged(best, fresh, ones)
+                ids = np.concatenate([ids[:, :DOWN], own[:, None]], 1)
+            elif j == layers - 1:
+                ids = ids[:, :DOWN]
+            row, node = np.repeat(np.arange(m), ids.shape[1]), ids.ravel()
+            row, node = row[node >= 0], node[node >= 0]
             while len(row):
                 nb = links[node]
                 r = np.repeat(row, nb.shape[1])
                 nb = nb.ravel()
-                ok = nb >= 0
-                key = np.unique(r[ok] * n + nb[ok])
-                r, nb = key // n, key % n
-                fresh = sim[r, nb] <= -2
-                fr, fn = r[fresh], nb[fresh]
-                if len(fr):
-                    for a in range(0, len(fr), 1 << 18):
-                        s = slice(a, a + (1 << 18))
-                        sim[fr[s], fn[s]] = np.einsum("id,id->i", q[fr[s]], self.x[fn[s]])
-                    best = self._best(best, fr, sim[fr, fn])
-                # in this layer not yet expanded, and good enough
-                good = sim[r, nb] >= np.minimum(best[r, -1], floor)
-                key = np.setdiff1d(key[good], expanded, assume_unique=True)
-                expanded = np.union1d(expanded, key)
-                row, node = key // n, key % n
-            if j < layers - 1:  # the best of this layer are where the next one starts
-                part = np.argpartition(-sim, min(wide, n - 1), axis=1)[:, :wide]
-                row, node = np.repeat(np.arange(m), part.shape[1]), part.ravel()
-                ok = sim[row, node] > -2
-                row, node = row[ok], node[ok]
-        return sim
-
-    @staticmethod
-    def _best(best: np.ndarray, row: np.ndarray, sim: np.ndarray) -> np.ndarray:
-        """Best similarities per row, with new ones."""
-        wide = best.shape[1]
-        order = np.lexsort((-sim, row))
-        row, sim = row[order], sim[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = rank < wide
-        new = np.full((len(best), min(wide, int(rank[keep].max()) + 1)), -2.0)
-        new[row[keep], rank[keep]] = sim[keep]
-        both = np.concatenate([best, new], 1)
-        return -np.sort(-both, axis=1)[:, :wide]
+                key = r * n + nb
+                fresh = nb >= 0
+                fresh[fresh] = ~seen[key[fresh]]
+                key, r, nb = key[fresh], r[fresh], nb[fresh]
+                order = np.arange(len(key), dtype=np.int32)
+                claim[key] = order
+                once = claim[key] == order
+                key, r, nb = key[once], r[once], nb[once]
+                seen[key] = True
+                sim = np.empty(len(r))
+                for a in range(0, len(r), 1 << 16):
+                    part = slice(a, a + (1 << 16))
+                    sim[part] = np.einsum("id,id->i", q[r[part]], self.x[nb[part]])
+                found.append((r, nb, sim))
+                bar = np.minimum(best[:, -1], floor)
+                best = _merged(best, r[sim >= bar[r]], sim[sim >= bar[r]])
+                good = sim >= np.minimum(best[r, -1], floor)
+                row, node = r[good], nb[good]
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _ranked(m: int, k: int, row: np.ndarray, node: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The k best nodes and their similarities per row; -1 and -2 where there are fewer."""
+    order = np.lexsort((-sim, row))
+    row, node, sim = row[order], node[order], sim[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    keep = rank < k
+    ids, best = np.full((m, k), -1, np.int64), np.full((m, k), -2.0)
+    ids[row[keep], rank[keep]] = node[keep]
+    best[row[keep], rank[keep]] = sim[keep]
+    return ids, best
+
+
+def _merged(best: np.ndarray, row: np.ndarray, sim: np.ndarray) -> np.ndarray:
+    """Best similarities per row, falling, with new ones."""
+    if not len(row):
+        return best
+    rows = np.unique(row)
+    _, new = _ranked(len(best), best.shape[1], row, row, sim)
+    best = best.copy()
+    best[rows] = -np.sort(-np.concatenate([best[rows], new[rows]], 1), axis=1)[:, : best.shape[1]]
+    return best
 
 
 def linked(x: np.ndarray, q: np.ndarray, own: np.ndarray, threshold: float):
     """For blocks of queries: (first query, cosines over the threshold as rows and nodes), by audited search."""
     graph = SmallWorld(x)
     audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    exact = q[audit] @ x.T >= threshold
+    exact = np.flatnonzero((q[audit] @ x.T >= threshold).ravel())
     ef = EF_SEARCH
     while True:
-        found = (graph.search(q[audit], ef, own[audit], threshold - MARGIN) >= threshold) & exact
-        if ef >= len(x) or found.sum() >= RECALL * exact.sum():
+        row, node, sim = graph.search(q[audit], ef, own[audit], threshold - MARGIN)
+        hit = np.isin(exact, (row * len(x) + node)[sim >= threshold])
+        if ef >= len(x) or hit.sum() >= RECALL * len(exact):
             break
         ef = min(len(x), ef * 2)
     for at in range(0, len(q), BLOCK):
-        sims = graph.search(q[at : at + BLOCK], ef, own[at : at + BLOCK], threshold - MARGIN) if ef < len(x) else q[at : at + BLOCK] @ x.T
-        rows, nodes = np.nonzero(sims >= threshold)
-        yield at, rows, nodes
+        if ef < len(x):
+            row, node, sim = graph.search(q[at : at + BLOCK], ef, own[at : at + BLOCK], threshold - MARGIN)
+            yield at, row[sim >= threshold], node[sim >= threshold]
+        else:
+            yield at, *np.nonzero(q[at : at + BLOCK] @ x.T >= threshold)
 
 
 OUT = "rep long, part long, to long"
