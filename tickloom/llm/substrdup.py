@@ -3,7 +3,8 @@
 Every window of LENGTH bytes has an anchor, its q-gram of smallest hash (leftmost on ties), so equal windows have equal
 anchors at equal offsets and only windows of one anchor bucket need to meet. A document sends, for each anchor, the
 bucket, 128 bits of the bytes that the anchor's windows span (its context), and where they start. In a bucket equal
-contexts prove all their windows repeated at once. What is left, one of each distinct context of a bucket with several,
+contexts prove all their windows repeated at once; contexts that a batch of texts holds several times are known before
+the shuffle, and only the first of them goes to its bucket. What is left, one of each distinct context of a bucket with several,
 fetches its bytes and goes through bucket-pointer refinement: positions start in buckets of equal q-grams, and are sorted
 again and again on the pair of their own bucket and the bucket of the position 32, 64 and then 72 bytes later; each
 round's buckets are the next one's keys, and positions alone in their bucket drop out. Windows that share the last
@@ -103,13 +104,19 @@ def anchors(data: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> dict[st
     return {k: np.concatenate(v).astype(kinds[k]) if v else np.zeros(0, kinds[k]) for k, v in out.items()}
 
 
-_ANCHOR = T.StructType([T.StructField(c, T.LongType(), False) for c in ("q", "c1", "c2")] + [T.StructField(c, T.IntegerType(), False) for c in ("p", "lo", "hi")])
+_ANCHOR = T.StructType([T.StructField(c, T.LongType(), False) for c in ("q", "c1", "c2")] + [T.StructField(c, T.IntegerType(), False) for c in ("p", "lo", "hi", "seen")])
 ANCHORS = T.StructType([T.StructField("anchors", T.ArrayType(_ANCHOR, False), False)])
 
 
 def _anchor_kernel(length: int):
     def kernel(data: np.ndarray, offs: np.ndarray) -> list:
         a = anchors(data, offs, length)
+        # 0: alone in this batch, 1: the first of several, 2: a further one, which needs no bucket
+        order = np.lexsort((a["c2"], a["c1"]))
+        same = (np.diff(a["c1"][order]) == 0) & (np.diff(a["c2"][order]) == 0) if len(order) else np.zeros(0, bool)
+        a["seen"] = np.zeros(len(order), np.int32)
+        a["seen"][order[:-1][same]] = 1
+        a["seen"][order[1:][same]] = 2
         at = np.concatenate(([0], np.cumsum(np.bincount(a["doc"], minlength=len(offs) - 1))))
         fields = [pa.field(f.name, pa.int64() if isinstance(f.dataType, T.LongType) else pa.int32(), False) for f in _ANCHOR]
         rows = pa.StructArray.from_arrays([pa.array(a[f.name]) for f in fields], fields=fields)
@@ -123,7 +130,7 @@ MET = "kind int, q long, kid long, th long, p int, lo int, hi int"
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (q, c1, c2, kid, th, p, lo, hi) sorted by the first three. Only the last row and one waiting context are kept."""
+    """Rows (q, c1, c2, kid, th, p, lo, hi, seen) sorted by the first three. Only the last row and one waiting context are kept."""
     cols: list[np.ndarray] = []
     same_before, several, waiting = False, False, None
     columns = [0, 3, 4, 5, 6, 7]
@@ -136,6 +143,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         new = [c.to_numpy() for c in batch.columns]
+        known = new[8] == 2
+        if known.any():
+            yield out(0, [new[k][known] for k in columns])
+            new = [c[~known] for c in new]
+            if not len(new[0]):
+                continue
         held = len(cols) > 0
         cols = [np.concatenate([c[-1:], x]) for c, x in zip(cols, new)] if held else new
         n = len(cols[0])
@@ -144,7 +157,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = same_q & (cols[1][1:] == cols[1][:-1]) & (cols[2][1:] == cols[2][:-1])
         before = np.concatenate(([same_before], same))
         after = np.append(same, False)
-        twice = np.flatnonzero((before | after)[: n - 1])
+        twice = np.flatnonzero((before | after | (cols[8] == 1))[: n - 1])
         yield out(0, [cols[k][twice] for k in columns])
         # first rows of contexts; the held row was seen as one in its own batch
         fresh = np.flatnonzero(~before[1:]) + 1 if held else np.flatnonzero(~before)
@@ -166,7 +179,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = [cols[k][fresh[-1:]] for k in columns]
         several = bool(total[end] >= 2)
         same_before = bool(before[-1])
-    if cols and same_before:
+    if cols and (same_before or cols[8][-1] == 1):
         yield out(0, [c[-1:] for c in (cols[k] for k in columns)])
 
 
@@ -312,8 +325,9 @@ def _window_rows(length: int):
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(kid, th, lo, hi): starts lo..hi of windows that occur elsewhere too, by key of the row."""
     found = map_text(_keyed(docs, id_col, text), "text", ["kid", "th"], ANCHORS, _anchor_kernel(length))
-    rows = found.select("kid", "th", F.explode("anchors").alias("a")).select("a.q", "a.c1", "a.c2", "kid", "th", "a.p", "a.lo", "a.hi")
-    met = stored(rows.repartition("q").sortWithinPartitions("q", "c1", "c2").mapInArrow(_meet, MET))
+    rows = found.select("kid", "th", F.explode("anchors").alias("a")).select("a.q", "a.c1", "a.c2", "kid", "th", "a.p", "a.lo", "a.hi", "a.seen")
+    place = F.when(F.col("seen") == 2, F.xxhash64("kid", "p")).otherwise(F.col("q"))
+    met = stored(rows.repartition(place).sortWithinPartitions("q", "c1", "c2").mapInArrow(_meet, MET))
     asked = met.where("kind = 1").groupBy("kid", "th").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("asked"))
     texts = _packed(docs, id_col, text).select("kid", "th", "z").join(asked.hint("merge"), ["kid", "th"]).dropDuplicates(["kid", "th"])
     many = [r.q for r in met.where("kind = 1").groupBy("q").count().where(F.col("count") > hot).select("q").limit(100_000).collect()]
