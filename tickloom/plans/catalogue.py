@@ -269,10 +269,10 @@ _ORDER_CLOSES = """closes AS (SELECT o_custkey % 16 AS series, row_number() OVER
   SELECT series, k, CAST(NULL AS DOUBLE) AS g, CAST(NULL AS DOUBLE) AS l FROM mv2 WHERE k = 1
   UNION ALL
   SELECT m.series, m.k, CASE WHEN m.k <= 14 THEN m.g0 ELSE (13 * r.g + m.up) / 14 END, CASE WHEN m.k <= 14 THEN m.l0 ELSE (13 * r.l + m.down) / 14 END FROM r JOIN mv2 m ON m.series = r.series AND m.k = r.k + 1)
-SELECT CAST(series AS BIGINT) AS series, CAST(k - 1 AS BIGINT) AS step, round(CASE WHEN k < 2 THEN NULL WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 6) + 0.0E0 AS rsi, round(g, 4) + 0.0E0 AS avgGain, round(l, 4) + 0.0E0 AS avgLoss FROM r""")
+SELECT CAST(series AS BIGINT) AS series, CAST(k - 1 AS BIGINT) AS step, round(CASE WHEN k < 2 THEN NULL WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 6) + 0.0E0 AS rsi, round(g + 1e-6, 4) + 0.0E0 AS avgGain, round(l + 1e-6, 4) + 0.0E0 AS avgLoss FROM r""")
 def rsi_close_series(spark, d):
     r = indicators.rsi_series(ticks_.order_closes(spark, d))
-    return shown(r.select("series", "step", "rsi", F.round("avgGain", 4).alias("avgGain"), F.round("avgLoss", 4).alias("avgLoss")))
+    return shown(r.select("series", "step", "rsi", *[F.round(F.col(c) + F.lit(1e-6), 4).alias(c) for c in ("avgGain", "avgLoss")]))
 
 
 @registered(_simple(KEYS + "deltaZscore:n", "zs", "zs"))
