@@ -123,9 +123,9 @@ class SmallWorld:
             col = np.arange(size)
             ok = col < count[part][:, None]
             new[ok] = src[(first[part][:, None] + col)[ok]]
-            if size > 4 * EF_BUILD:  # a hub: the nearest of the new ones
+            if size > LINKS:  # a hub: the nearest of the new ones
                 s = np.where(new >= 0, np.einsum("bkd,bd->bk", self.x[np.maximum(new, 0)], self.x[nodes[part]]), -2)
-                best = np.argpartition(-s, 4 * EF_BUILD, axis=1)[:, : 4 * EF_BUILD]
+                best = np.argpartition(-s, LINKS, axis=1)[:, :LINKS]
                 new = np.take_along_axis(new, best, 1)
             cand = np.sort(np.concatenate([links[nodes[part]], new], 1), axis=1)
             cand[:, 1:][cand[:, 1:] == cand[:, :-1]] = -1
@@ -200,7 +200,7 @@ class SmallWorld:
 
 def _ranked(m: int, k: int, row: np.ndarray, node: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The k best nodes and their similarities per row; -1 and -2 where there are fewer."""
-    order = np.lexsort((-sim, row))
+    order = np.argsort(row * 4.0 - sim)  # by row, then falling similarity
     row, node, sim = row[order], node[order], sim[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
     keep = rank < k
