@@ -58,9 +58,10 @@ def _letters(points: np.ndarray) -> np.ndarray:
 
 
 def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Completed transitions of the suffix automaton: state * alphabet + symbol -> state, with FLAG where a phrase ends.
+    """Completed transitions of the suffix automaton: state * alphabet + symbol -> state, with FLAG where a phrase starts.
 
-    A missing transition ends the phrase, and the symbol starts the next one from the root.
+    A missing transition ends the phrase, and the symbol starts the next one from the root. An unknown symbol is a phrase
+    of its own, after which the root is where the next one starts.
     """
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -89,12 +90,9 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
         last = cur
     root = np.array([nxt[0].get(c, 0) for c in range(alphabet)], np.int32) | FLAG
     table = np.tile(root, (len(nxt), 1))
-    for s, edges in enumerate(nxt):
+    for s, edges in enumerate(nxt[1:], 1):
         for c, to in edges.items():
             table[s, c] = to
-    for c in range(alphabet):  # an unknown symbol is a phrase of its own; the root stays
-        if c not in nxt[0]:
-            table[:, c] = FLAG
     return table.ravel()
 
 
@@ -128,14 +126,13 @@ class LanguageModel:
         sym = symbols.astype(np.int32)
         for j, table in enumerate(self.tables()):
             state = np.zeros(len(first), np.int32)
-            ended = np.zeros(len(first), np.int32)
+            begun = np.zeros(len(first), np.int32)
             for t in range(size[0]):
                 m = live[t]
                 v = table[state[:m] * np.int32(ALPHABET) + sym[first[:m] + t]]
-                ended[:m] += v >> 30
+                begun[:m] += v >> 30
                 state[:m] = v & (FLAG - 1)
-            # the first symbol starts the first phrase: from the root it is no end, unless it is unknown
-            out[:, j] = np.bincount(owner, weights=ended + 1, minlength=n)
+            out[:, j] = np.bincount(owner, weights=begun, minlength=n)
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
