@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import labelled_sample, map_text, platt, remainder, sigmoid
 
-PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, BLOCK, LEVEL = 700, 20_000, 64 << 10, 2048, 1
+PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, BLOCK, LEVEL = 2000, 12_000, 112 << 10, 1024, 3
 THRESHOLD = 0.3
+#: Bytes added to all sizes: frames of very short texts cost more than they hold.
+DAMP = 64
 
 
 @dataclasses.dataclass(frozen=True)
@@ -54,7 +56,7 @@ class QualityModel:
                     block = t[at : at + BLOCK]
                     a += len(bad(block))
                     b += len(good(block))
-                out[i] = (a - b) / len(t), (a - b) / (a + b), np.log((a + b) / len(t))
+                out[i] = (a - b) / (len(t) + DAMP), (a - b) / (a + b + DAMP), np.log((a + b + DAMP) / (len(t) + DAMP))
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -78,9 +80,12 @@ def train(sample: list[tuple[int, str]], share: float = 0.5) -> QualityModel:
     logit = float(np.log(prior / (1 - prior)))
     if min(len(v) for v in by.values()) < 8:
         return QualityModel(b"", b"", (0.0, 0.0, 0.0, logit))
+    # each line once, and none that both classes have: licence lines and the like tell nothing
+    lines = {y: dict.fromkeys(line for t in texts[::2] for line in t.split(b"\n")) for y, texts in by.items()}
     made = {}
-    for y, texts in by.items():
-        parts = [t[a : a + BLOCK] for t in texts[::2] for a in range(0, len(t), BLOCK)]
+    for y in by:
+        own = b"\n".join(line for line in lines[y] if line not in lines[1 - y])
+        parts = [own[a : a + BLOCK] for a in range(0, len(own), BLOCK)]
         try:
             made[y] = zstandard.train_dictionary(DICTIONARY_BYTES, parts, level=LEVEL).as_bytes()
         except zstandard.ZstdError:  # too few or too equal samples for the trainer: the texts themselves
