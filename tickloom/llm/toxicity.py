@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import Words, byte_table, labelled_sample, map_text, mix, platt, remainder, sigmoid
 
-PER_CLASS, SAMPLE_CHARS, WINDOW, BITS = 1000, 12_000, 64, 18
+PER_CLASS, SAMPLE_CHARS, WINDOW, BITS = 1500, 12_000, 64, 18
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
+#: Marginals below count for nothing, so that long texts do not add up noise.
+FAINT = 0.1
 #: Buckets of features are odd; of the even ones, 0 holds the bias and 2 stays without weight.
 BIAS, NO_FEATURE = 0, 2
 
@@ -121,8 +123,8 @@ class ToxicityModel:
         n = len(words.count)
         doc = words.doc
         strongest = np.zeros(n)
-        np.maximum.at(strongest, doc[p > 0.02], p[p > 0.02])
-        expected = np.bincount(doc, weights=np.where(p > 0.02, p, 0), minlength=n)
+        np.maximum.at(strongest, doc[p > FAINT], p[p > FAINT])
+        expected = np.bincount(doc, weights=np.where(p > FAINT, p, 0), minlength=n)
         return np.column_stack([strongest, np.log1p(expected)])
 
 
@@ -216,7 +218,7 @@ def train(sample: list[tuple[int, str]], share: float = 0.5, rounds: int = 60, r
     rest = _arrays([t for (_, t), h in zip(sample, half) if h])
     x = model.aggregate(rest, model.tag(rest))
     y = y_all[half].astype(float)
-    cal = platt(x, y, ridge=0.3)
+    cal = platt(x, y, ridge=0.01)
     cal[-1] += logit - float(np.log(y.sum() / (1 - y).sum()))
     model.calibration = cal
     return model
