@@ -143,23 +143,31 @@ class SmallWorld:
         return np.concatenate(ids), np.concatenate(sims)
 
     def search(self, q: np.ndarray, ef: int, own: np.ndarray | None = None, floor: float = 2.0, layers: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, node, cosine) of all that the beams of the queries have visited, each pair once.
+        """(query, node, cosine) of what the beams of the queries have found, each pair once: the ``ef`` best of each
+        query at least, and all visited that reach ``floor``.
 
-        The beam goes down the layers. It expands what is among the ``ef`` best so far, and, so that a dense group is
-        seen whole, all that reaches ``floor``. ``own``: nodes of the queries themselves (-1: none), where they start too.
+        The beam goes down the layers. It expands what is among the ``ef`` best so far (``DOWN`` in upper layers), and, so
+        that a dense group is seen whole, all that reaches ``floor``. ``own``: nodes of the queries themselves (-1: none),
+        where they start too.
         """
         layers = len(self.links) if layers is None else layers
         n, m = len(self.x), len(q)
         seen = np.zeros(m * n, bool)
         claim = np.empty(m * n, np.int32)
         start = q @ self.x[self.top].T
-        found = [(np.repeat(np.arange(m), len(self.top)), np.tile(self.top, m), start.ravel())]
-        seen[found[0][0] * n + found[0][1]] = True
+        seen[(np.arange(m)[:, None] * n + self.top).ravel()] = True
+        part = np.argpartition(-start, min(ef, len(self.top)) - 1, axis=1)[:, :ef]
+        got = np.take_along_axis(start, part, 1)
+        best = np.full((m, ef), -2.0)
+        best[:, : got.shape[1]] = -np.sort(-got, axis=1)
+        row, node = np.nonzero(start >= np.minimum(best[:, -1], floor)[:, None])
+        found = [(row, self.top[node], start[row, node])]
         for j, links in enumerate(self.links[:layers]):
-            wide = ef if j == layers - 1 else DOWN
+            last = j == layers - 1
             row, node, sim = (np.concatenate(c) for c in zip(*found))
-            ids, best = _ranked(m, wide, row, node, sim)
-            if j == layers - 1 and own is not None:
+            near = sim >= best[row, min(DOWN, ef) - 1]
+            row, node = row[near], node[near]
+            if last and own is not None:
                 has = np.flatnonzero(own >= 0)
                 key = has * n + own[has]
                 fresh = has[~seen[key]]
@@ -168,11 +176,8 @@ class SmallWorld:
                     ones = np.ones(len(fresh))
                     found.append((fresh, own[fresh], ones))
                     best = _merged(best, fresh, ones)
-                ids = np.concatenate([ids[:, :DOWN], own[:, None]], 1)
-            elif j == layers - 1:
-                ids = ids[:, :DOWN]
-            row, node = np.repeat(np.arange(m), ids.shape[1]), ids.ravel()
-            row, node = row[node >= 0], node[node >= 0]
+                row, node = np.concatenate([row, has]), np.concatenate([node, own[has]])
+            width = ef if last else min(DOWN, ef)
             while len(row):
                 nb = links[node]
                 r = np.repeat(row, nb.shape[1])
@@ -190,12 +195,15 @@ class SmallWorld:
                 for a in range(0, len(r), 1 << 16):
                     part = slice(a, a + (1 << 16))
                     sim[part] = np.einsum("id,id->i", q[r[part]], self.x[nb[part]])
+                stay = sim >= np.minimum(best[:, -1], floor)[r]
+                r, nb, sim = r[stay], nb[stay], sim[stay]
                 found.append((r, nb, sim))
-                bar = np.minimum(best[:, -1], floor)
-                best = _merged(best, r[sim >= bar[r]], sim[sim >= bar[r]])
-                good = sim >= np.minimum(best[r, -1], floor)
+                best = _merged(best, r, sim)
+                good = sim >= np.minimum(best[r, width - 1], floor)
                 row, node = r[good], nb[good]
-        return tuple(np.concatenate(c) for c in zip(*found))
+        row, node, sim = (np.concatenate(c) for c in zip(*found))
+        stay = sim >= np.minimum(best[:, -1], floor)[row]
+        return row[stay], node[stay], sim[stay]
 
 
 def _ranked(m: int, k: int, row: np.ndarray, node: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
