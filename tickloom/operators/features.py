@@ -24,9 +24,8 @@ def closed_values(levels: DataFrame, bars: DataFrame, config: BarConfig = DEFAUL
     day = profile.developing(levels, bars, DAY, config)
     week = profile.developing(levels, bars, ["contract", "week_no"], config)
     week = week.select(*BAR, F.col("poc").alias("weekPoc"), F.col("vah").alias("weekVah"), F.col("val").alias("weekVal"))
-    out = indicators.day_vwap(bars, config)
-    seeds = indicators.bands_and_rsi(bars, config)
-    for more in (indicators.week_vwap(bars, config), seeds, day, week, indicators.delta_zscore(bars, config), indicators.cum_delta_slope(bars), indicators.high_low_close(bars, config)):
+    out = indicators.windowed(bars, config)
+    for more in (indicators.bands_and_rsi(bars, config), day, week):
         out = out.join(more, BAR)
     return out
 
@@ -116,10 +115,11 @@ priceLastSwingLowDiff priceLastHVNDiff dayOfTheWeek weekOfTheContract""".split()
 
 def bars_flat(ticks: DataFrame, config: BarConfig = DEFAULT, keys: bool = True) -> DataFrame:
     """One row per bar with all features, in the columns of the training table; with ``keys`` also what names the bar."""
-    labelled = bars_.label(ticks, config).persist()  # four consumers; spills to disk and is computed anew if lost
-    b = with_weeks(bars_.bars(labelled, config))
-    lv = footprint.levels(labelled, config)
-    closed = closed_values(lv, b, config)
+    # each has several consumers; they spill to disk and are computed anew where an executor is lost
+    labelled = bars_.label(ticks, config).persist()
+    b = with_weeks(bars_.bars(labelled, config)).persist()
+    lv = footprint.levels(labelled, config).persist()
+    closed = closed_values(lv, b, config).persist()
     out = b.join(footprint.nested(lv), BAR).join(footprint.level_summary(lv), BAR).join(footprint.bar_poc(labelled), BAR).join(price_diffs(b, closed, config).drop("week_no"), BAR)
     out = out.withColumns({
         "priceCurrentDayVwapUpperStdDevDiff": F.col("priceCurrentDayVwapUpperStdDev2Diff"), "priceCurrentDayVwapLowerStdDevDiff": F.col("priceCurrentDayVwapLowerStdDev2Diff"),

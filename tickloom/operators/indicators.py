@@ -14,58 +14,106 @@ from .bars import sessions
 _RUN = lambda *keys: Window.partitionBy(*keys).orderBy("trade_date", "bar_idx").rowsBetween(Window.unboundedPreceding, 0)
 
 
-def day_vwap(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
-    """Volume-weighted mean of the typical price with one and two deviations, at every bar close."""
+def add_day_vwap(bars: DataFrame) -> DataFrame:
+    """Volume-weighted mean of the typical price with one and two deviations; values of closed bars count."""
     v = F.col("barTotalVolume").cast("double")
     tp = (F.col("high") + F.col("low") + F.col("close")) / 3
     w = _RUN(*DAY)
-    t = bars.where("closed").select(*DAY, "bar_idx", F.sum("barTotalVolume").over(w).alias("V"), F.sum(tp * v).over(w).alias("PV"), F.sum(v * tp * tp).over(w).alias("SPV"), F.first("open").over(w).alias("seed"))
-    t = t.withColumn("vwap", F.when(F.col("V") > 0, F.col("PV") / F.col("V")).otherwise(F.col("seed")))
-    t = t.withColumn("var", F.when(F.col("V") > 0, F.col("SPV") / F.col("V") - F.col("vwap") * F.col("vwap")))
-    s = F.when(F.col("V") > 0, F.when(F.col("var") > 0, F.sqrt("var")).otherwise(0.0))
+    t = bars.select("*", F.sum("barTotalVolume").over(w).alias("V_"), F.sum(tp * v).over(w).alias("PV_"), F.sum(v * tp * tp).over(w).alias("SPV_"), F.first("open").over(w).alias("seed_"))
+    t = t.withColumn("vwap", F.when(F.col("V_") > 0, F.col("PV_") / F.col("V_")).otherwise(F.col("seed_")))
+    t = t.withColumn("var_", F.when(F.col("V_") > 0, F.col("SPV_") / F.col("V_") - F.col("vwap") * F.col("vwap")))
+    s = F.when(F.col("V_") > 0, F.when(F.col("var_") > 0, F.sqrt("var_")).otherwise(0.0))
     band = lambda k: F.coalesce(F.col("vwap") + k * s, F.lit(0.0))
-    return t.select(*DAY, "bar_idx", "vwap", band(1).alias("vwapUpperStdDev1"), band(-1).alias("vwapLowerStdDev1"), band(2).alias("vwapUpperStdDev2"), band(-2).alias("vwapLowerStdDev2"), (band(1) - band(-1)).alias("vwapBandWidth"), F.col("V").alias("totalVolume"))
+    t = t.select("*", band(1).alias("vwapUpperStdDev1"), band(-1).alias("vwapLowerStdDev1"), band(2).alias("vwapUpperStdDev2"), band(-2).alias("vwapLowerStdDev2"), (band(1) - band(-1)).alias("vwapBandWidth"), F.col("V_").alias("totalVolume"))
+    return t.drop("V_", "PV_", "SPV_", "seed_", "var_")
 
 
-def week_vwap(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
+def add_week_vwap(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
     """Weekly mean of closes by volume. In parity mode the denominator is the week profile's total at the previous close
     (which holds earlier sessions' unclosed last bars) plus the bar's own volume; else the running volume of closed bars."""
-    week = ["contract", "week_no"]
-    w = _RUN(*week)
+    w = _RUN("contract", "week_no")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     v = F.col("barTotalVolume").cast("double")
     real = F.when(F.col("closed"), v).otherwise(0.0)
     # what the profile held at each close: every bar of the week up to it, then as of the close before
-    t = bars.select(*week, *DAY[1:], "bar_idx", "closed", "close", "barTotalVolume", F.sum(v).over(w).alias("held"), F.sum(real * F.col("close")).over(w).alias("PV"), F.sum(real * F.col("close") * F.col("close")).over(w).alias("SPV"), F.sum(real).over(w).alias("own"))
-    last = F.last(F.when(F.col("closed"), F.col("held")), ignorenulls=True).over(before)
-    total = (F.coalesce(last, F.lit(0.0)) + v) if config.parity else F.col("own")
-    t = t.withColumn("V", total).where("closed")
-    used = F.col("barTotalVolume") > 0
-    t = t.withColumn("m", F.when(used, F.col("PV") / F.col("V")))
-    t = t.withColumn("x", F.when(used, F.col("SPV") / F.col("V") - F.col("m") * F.col("m")))
-    t = t.withColumn("s", F.when(used, F.when(F.col("x") > 1e-9, F.sqrt("x")).otherwise(0.0)))
+    t = bars.select("*", F.sum(v).over(w).alias("held_"), F.sum(real * F.col("close")).over(w).alias("PV_"), F.sum(real * F.col("close") * F.col("close")).over(w).alias("SPV_"), F.sum(real).over(w).alias("own_"))
+    last = F.last(F.when(F.col("closed"), F.col("held_")), ignorenulls=True).over(before)
+    t = t.withColumn("V_", (F.coalesce(last, F.lit(0.0)) + v) if config.parity else F.col("own_"))
+    used = F.col("closed") & (F.col("barTotalVolume") > 0)
+    t = t.withColumn("m_", F.when(used, F.col("PV_") / F.col("V_")))
+    t = t.withColumn("x_", F.when(used, F.col("SPV_") / F.col("V_") - F.col("m_") * F.col("m_")))
+    t = t.withColumn("s_", F.when(used, F.when(F.col("x_") > 1e-9, F.sqrt("x_")).otherwise(0.0)))
     keep = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.lit(0.0))
-    t = t.select(*week, "trade_date", "bar_idx", keep("m").alias("weekVwap"), keep("s").alias("s"))
-    return t.select("contract", "trade_date", "bar_idx", "weekVwap", (F.col("weekVwap") + F.col("s")).alias("weekVwapUpperStdDev1"), (F.col("weekVwap") - F.col("s")).alias("weekVwapLowerStdDev1"), (F.col("weekVwap") + F.col("s") - (F.col("weekVwap") - F.col("s"))).alias("weekVwapBandWidth"))
+    t = t.withColumns({"weekVwap": keep("m_"), "k_": keep("s_")})
+    t = t.withColumns({"weekVwapUpperStdDev1": F.col("weekVwap") + F.col("k_"), "weekVwapLowerStdDev1": F.col("weekVwap") - F.col("k_")})
+    return t.withColumn("weekVwapBandWidth", F.col("weekVwapUpperStdDev1") - F.col("weekVwapLowerStdDev1")).drop("held_", "PV_", "SPV_", "own_", "V_", "m_", "x_", "s_", "k_")
 
 
-def delta_zscore(bars: DataFrame, config: BarConfig = DEFAULT, window: int | None = None) -> DataFrame:
+def add_zscore(bars: DataFrame, config: BarConfig = DEFAULT, window: int | None = None) -> DataFrame:
     """Deviation of a bar's delta in the last ``window`` bars; the first bar has its delta itself (0 when not in parity)."""
     n = window or config.z_window
     w = Window.partitionBy(*DAY).orderBy("bar_idx").rowsBetween(1 - n, 0)
     d = F.col("delta").cast("double")
-    t = bars.where("closed").select(*DAY, "bar_idx", d.alias("d"), F.sum(d).over(w).alias("s"), F.sum(d * d).over(w).alias("q"), F.count("*").over(w).alias("n"))
-    var = F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n"))
-    z = F.when(F.col("bar_idx") == 0, F.col("d") if config.parity else F.lit(0.0)).when(var > 0, (F.col("d") - F.col("s") / F.col("n")) / F.sqrt(var)).otherwise(0.0)
-    return t.select(*DAY, "bar_idx", z.alias("deltaZscore"))
+    t = bars.select("*", F.sum(d).over(w).alias("s_"), F.sum(d * d).over(w).alias("q_"), F.count("*").over(w).alias("n_"))
+    mean = F.col("s_") / F.col("n_")
+    var = F.col("q_") / F.col("n_") - mean * mean
+    z = F.when(F.col("bar_idx") == 0, d if config.parity else F.lit(0.0)).when(var > 0, (d - mean) / F.sqrt(var)).otherwise(0.0)
+    return t.withColumn("deltaZscore", z).drop("s_", "q_", "n_")
 
 
-def cum_delta_slope(bars: DataFrame) -> DataFrame:
+def add_slope(bars: DataFrame) -> DataFrame:
     """Least-squares slope of the cumulative delta over five bars; 0 before the fifth."""
     w = Window.partitionBy(*DAY).orderBy("bar_idx")
     y = [F.lag("cumDeltaAtBar", k).over(w) for k in range(5)]
     slope = (2 * y[0] + y[1] - y[3] - 2 * y[4]) / 10.0
-    return bars.where("closed").select(*DAY, "bar_idx", F.coalesce(slope.cast("double"), F.lit(0.0)).alias("cumDelta5barSlope"))
+    return bars.withColumn("cumDelta5barSlope", F.coalesce(slope.cast("double"), F.lit(0.0)))
+
+
+def add_high_low(bars: DataFrame) -> DataFrame:
+    """Session high, low and close (price of the tick that broke the bar) and week high and low, at every bar close."""
+    day = _RUN(*DAY)
+    t = bars.select("*", F.max("high").over(day).alias("dayHigh"), F.min("low").over(day).alias("dayLow"), F.first("open").over(day).alias("o_"), F.col("next_open").alias("dayClose"))
+    week = _RUN("contract", "week_no")
+    seed = F.first("o_").over(week)
+    hi = F.max(F.when(F.col("closed"), F.col("dayHigh"))).over(week)
+    lo = F.min(F.when(F.col("closed"), F.col("dayLow"))).over(week)
+    t = t.withColumns({"weekHigh": F.when(F.col("week_no") == 1, F.greatest(hi, seed)).otherwise(F.greatest(hi, F.lit(0.0))), "weekLow": F.least(lo, seed)})
+    return t.drop("o_")
+
+
+_DAY_VWAP = ["vwap", "vwapUpperStdDev1", "vwapLowerStdDev1", "vwapUpperStdDev2", "vwapLowerStdDev2", "vwapBandWidth", "totalVolume"]
+_WEEK_VWAP = ["weekVwap", "weekVwapUpperStdDev1", "weekVwapLowerStdDev1", "weekVwapBandWidth"]
+_HIGH_LOW = ["dayHigh", "dayLow", "dayClose", "weekHigh", "weekLow"]
+
+
+def _at_close(t: DataFrame, columns: list[str]) -> DataFrame:
+    return t.where("closed").select(*DAY, "bar_idx", *columns)
+
+
+def day_vwap(bars: DataFrame) -> DataFrame:
+    return _at_close(add_day_vwap(bars), _DAY_VWAP)
+
+
+def week_vwap(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
+    return _at_close(add_week_vwap(bars, config), _WEEK_VWAP)
+
+
+def delta_zscore(bars: DataFrame, config: BarConfig = DEFAULT, window: int | None = None) -> DataFrame:
+    return _at_close(add_zscore(bars, config, window), ["deltaZscore"])
+
+
+def cum_delta_slope(bars: DataFrame) -> DataFrame:
+    return _at_close(add_slope(bars), ["cumDelta5barSlope"])
+
+
+def high_low_close(bars: DataFrame) -> DataFrame:
+    return _at_close(add_high_low(bars), _HIGH_LOW)
+
+
+def windowed(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
+    """All indicators that windows can state, at every bar close, over one distribution by session and one by week."""
+    t = add_slope(add_zscore(add_day_vwap(bars), config))
+    return _at_close(add_week_vwap(add_high_low(t), config), [*_DAY_VWAP, "deltaZscore", "cumDelta5barSlope", *_HIGH_LOW, *_WEEK_VWAP])
 
 
 RECURRENT = "contract string, trade_date date, bar_idx int, bbMiddle double, variance double, bbUpper double, bbLower double, BBandWidth double, rsi double, avgGain double, avgLoss double"
@@ -199,9 +247,8 @@ def divergence(labelled: DataFrame, bars: DataFrame, config: BarConfig = DEFAULT
     They move with every price change and use z-score and VWAP as of the last closed bar; one pass over the ticks.
     """
     w = Window.partitionBy(*DAY).orderBy("bar_idx")
-    closed = delta_zscore(bars, config).join(day_vwap(bars, config).select(*DAY, "bar_idx", "vwap"), [*DAY, "bar_idx"])
     first = F.first("open").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    known = bars.select(*DAY, "bar_idx", "open").join(closed, [*DAY, "bar_idx"], "left")
+    known = add_zscore(add_day_vwap(bars), config)
     asof = known.select(*DAY, "bar_idx", F.coalesce(F.lag("deltaZscore").over(w), F.lit(0.0)).alias("z"), F.coalesce(F.lag("vwap").over(w), first).alias("vwap"))
     flow = labelled.select(*DAY, "bar_idx", "seq", "Price", (F.col("AskVolume") - F.col("BidVolume")).alias("d"), (F.col("is_open") | F.col("is_change")).alias("m")).join(asof, [*DAY, "bar_idx"])
     flow = flow.select(*DAY, "bar_idx", "Price", "d", "m", "z", "vwap", "seq").repartition(*DAY).sortWithinPartitions(*DAY, "seq")
@@ -236,15 +283,3 @@ def divergence(labelled: DataFrame, bars: DataFrame, config: BarConfig = DEFAULT
             yield flush()
 
     return flow.mapInArrow(run, TICK_STATE)
-
-
-def high_low_close(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
-    """Session high, low and close (price of the tick that broke the bar) and week high and low, at every bar close."""
-    day = _RUN(*DAY)
-    t = bars.select(*DAY, "week_no", "bar_idx", "closed", "next_open", F.max("high").over(day).alias("dayHigh"), F.min("low").over(day).alias("dayLow"), F.first("open").over(day).alias("o"))
-    week = _RUN("contract", "week_no")
-    seed = F.first("o").over(week)
-    hi = F.max(F.when(F.col("closed"), F.col("dayHigh"))).over(week)
-    lo = F.min(F.when(F.col("closed"), F.col("dayLow"))).over(week)
-    t = t.withColumn("weekHigh", F.when(F.col("week_no") == 1, F.greatest(hi, seed)).otherwise(F.greatest(hi, F.lit(0.0)))).withColumn("weekLow", F.least(lo, seed))
-    return t.where("closed").select(*DAY, "bar_idx", "dayHigh", "dayLow", F.col("next_open").alias("dayClose"), "weekHigh", "weekLow")

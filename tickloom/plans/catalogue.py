@@ -77,7 +77,7 @@ def _bars(spark: SparkSession, d: str) -> DataFrame:
 def _closed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     labelled = _labelled(spark, d).persist()
     b = features.with_weeks(bars_.bars(labelled)).persist()
-    return b, features.closed_values(footprint.levels(labelled), b)
+    return b, features.closed_values(footprint.levels(labelled), b).persist()
 
 
 def _folder(spark: SparkSession, name: str) -> str:
