@@ -3,7 +3,8 @@
 Vectors are compared only within a label (and dimension). Equal vectors become one, with a multiplicity. The vectors of a
 label are dealt by hash into shards of about ``SHARD_ROWS``; a task gets one shard, builds its graph, and searches it for
 the vectors of one shard of the label, for all pairs of shards, so every vector asks every shard. The beam is widened
-until an audit of brute-force answers shows ``RECALL``; a beam as wide as the shard is exhaustive, so it always ends.
+until an audit of brute-force answers shows ``RECALL``; a beam as wide as the shard is exhaustive, so it always ends
+(it is taken where beams would pass 1/64 of the shard, as it is the cheaper one then).
 Every link counted is verified by the cosine in double precision. A task returns for each vector the number of linked
 vectors and one link to the smallest vector of its part of a component, never the pairs.
 
@@ -240,7 +241,7 @@ def linked(x: np.ndarray, q: np.ndarray, own: np.ndarray, threshold: float):
         hit = np.isin(exact, (row * len(x) + node)[sim >= threshold])
         if ef >= len(x) or hit.sum() >= RECALL * len(exact):
             break
-        ef = min(len(x), ef * 2)
+        ef = ef * 2 if 128 * ef <= len(x) else len(x)  # wider beams cost more than the whole shard
     for at in range(0, len(q), BLOCK):
         if ef < len(x):
             row, node, sim = graph.search(q[at : at + BLOCK], ef, own[at : at + BLOCK], threshold - MARGIN)
