@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text that a kernel looks at at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 
 

@@ -28,7 +28,7 @@ from .common import BYTE_CODE, CHUNK_BYTES, chunks, flat, map_text, mix, stored
 
 LENGTH, GRAM = 200, 32
 #: Window starts of a long text that are looked at together; distinct contexts of a bucket that one task refines.
-SEGMENT, HOT = 1 << 20, 20_000
+SEGMENT, HOT = 1 << 18, 20_000
 _MASK = np.uint64((1 << 21) - 1)
 _STEPS = [(1, np.uint64(0x9E3779B97F4A7C15 | 1)), (2, np.uint64(0xC2B2AE3D27D4EB4F | 1)), (4, np.uint64(0xD6E8FEB86659FD93 | 1)), (8, np.uint64(0xA0761D6478BD642F | 1)), (16, np.uint64(0xE7037ED1A0B428DB | 1))]
 
