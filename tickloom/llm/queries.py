@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, embdup, langid, neardup, piece, quality, secretscan, substrdup, toxicity, urlfilter
+from . import decontam, embdup, langid, neardup, piece, quality, secretscan, sql, substrdup, toxicity, urlfilter
 from .common import table
 
 TOKENIZER_VARIABLE = "TICKLOOM_PIECE_MODEL"
@@ -66,4 +66,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": urlfilter.SQL}
+    """By brute force; the others are compared in tests: classifiers on held-out rows, the rest with plain code."""
+    return {"op2_url_filter": urlfilter.SQL, "op5_near_duplicates": sql.NEAR_DUPLICATES, "op8_decontamination": sql.DECONTAMINATION, "op10_embedding_dedup": sql.EMBEDDINGS}
