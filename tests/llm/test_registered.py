@@ -34,7 +34,7 @@ def test_query(spark, name):
     df = queries.queries()[name](spark, DATA)
     rows = df.collect()
     source = "pages" if name.startswith("op2_") else "embeddings" if name.startswith("op10_") else "documents"
-    assert len(rows) == con.sql(f"select count(*) from {source}").fetchone()[0]
+    assert len(rows) == con.sql(f"select count(*) from {source}").fetchall()[0][0]
     assert set(COLUMNS.get(name, "").split()) <= set(df.columns)
     if sql := queries.oracle_sql().get(name):
         rel = con.sql(sql)
