@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.config import DAY, DEFAULT, BarConfig
+from ..functions.hooks import NONE, Hooks
 from . import bars as bars_, footprint, indicators, profile
 
 BAR = [*DAY, "bar_idx"]
@@ -23,7 +24,7 @@ def closed_values(levels: DataFrame, bars: DataFrame, config: BarConfig = DEFAUL
     """All indicators at every bar close, one row per closed bar."""
     day = profile.developing(levels, bars, DAY, config)
     week = profile.developing(levels, bars, ["contract", "week_no"], config)
-    week = week.select(*BAR, F.col("poc").alias("weekPoc"), F.col("vah").alias("weekVah"), F.col("val").alias("weekVal"))
+    week = week.select(*BAR, F.col("poc").alias("weekPoc"), F.col("vah").alias("weekVah"), F.col("val").alias("weekVal"), F.col("profile_total").alias("weekTotal"))
     out = indicators.windowed(bars, config)
     for more in (indicators.bands_and_rsi(bars, config), day, week):
         out = out.join(more, BAR)
@@ -126,3 +127,54 @@ def bars_flat(ticks: DataFrame, config: BarConfig = DEFAULT, keys: bool = True)
         "dayOfTheWeek": (F.weekday("trade_date") + 1).cast("string"), "weekOfTheContract": F.lit("-1") if config.parity else F.col("week_no").cast("string"),
     })
     return out.select(*(BAR if keys else []), *FLAT)
+
+
+#: Scalars of a session in its document, and where they come from.
+DAY_SCALARS = {
+    "deltaZscore11bars": "deltaZscore", "cumDelta5barSlope": "cumDelta5barSlope", "priceCumDeltaDivergence5bar": "priceCumDeltaDivergence5bar", "priceCumDeltaDivergence10bar": "priceCumDeltaDivergence10bar",
+    "interactionReversal": "interactionReversal", "vwap": "vwap", "vwapUpperStdDev1": "vwapUpperStdDev1", "vwapUpperStdDev2": "vwapUpperStdDev2", "vwapLowerStdDev1": "vwapLowerStdDev1", "vwapLowerStdDev2": "vwapLowerStdDev2",
+    "vwapBandWidth": "vwapBandWidth", "bbMiddle": "bbMiddle", "bbUpper": "bbUpper", "bbLower": "bbLower", "BBandWidth": "BBandWidth", "rsi": "rsi", "poc": "poc", "vah": "vah", "val": "val", "ibHigh": None, "ibLow": None,
+    "dayHigh": "dayHigh", "dayLow": "dayLow", "dayClose": "dayClose", "totalVolume": "totalVolume", "cumulativeDelta": "cumulativeDelta", "lastSwingHigh": None, "lastSwingLow": None, "lastHighVolumeNode": "hvn",
+    "prevAvgGain": "avgGain", "prevAvgLoss": "avgLoss", "variance": "variance", "cumulativePV": "cumulativePV", "cumulativeSquarePV": "cumulativeSquarePV",
+}
+
+
+def day_scalars(bars: DataFrame, closed: DataFrame, moving: DataFrame) -> DataFrame:
+    """All final scalars of every session; ``moving`` is what ``indicators.divergence`` gives."""
+    base = day_summary(bars, closed)
+    rest = ["vwapBandWidth", "BBandWidth", "hvn", "avgGain", "avgLoss", "variance", "cumulativePV", "cumulativeSquarePV"]
+    last = closed.groupBy(*DAY).agg(*[F.max_by(c, "bar_idx").alias(c) for c in rest])
+    state = moving.groupBy(*DAY).agg(*[F.max_by(c, "bar_idx").alias(c) for c in ("priceCumDeltaDivergence5bar", "priceCumDeltaDivergence10bar", "interactionReversal")])
+    t = base.join(last, DAY, "left").join(state, DAY, "left")
+    keep = {"avgGain", "avgLoss", "rsi"}  # undefined before the second close
+    value = lambda v: F.lit(0.0) if v is None else F.col(v) if v in keep else F.coalesce(F.col(v), F.lit(0))
+    return t.select(*DAY, "week_no", *[value(v).alias(k) for k, v in DAY_SCALARS.items()])
+
+
+WEEK_SCALARS = {"totalVolume": "weekTotal", "vwap": "weekVwap", "vwapUpperStdDev1": "weekVwapUpperStdDev1", "vwapLowerStdDev1": "weekVwapLowerStdDev1", "vwapBandWidth": "weekVwapBandWidth", "poc": "weekPoc", "vah": "weekVah", "val": "weekVal"}
+
+
+def week_scalars(bars: DataFrame, closed: DataFrame) -> DataFrame:
+    """All final scalars of every calendar week; weeks without a closed bar keep what a week starts with."""
+    order = F.struct("trade_date", "bar_idx")
+    t = bars.select(*BAR, "week_no", "open").join(closed.select(*BAR, *WEEK_SCALARS.values()), BAR, "left")
+    last = t.groupBy("contract", "week_no").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in WEEK_SCALARS.values()], F.min_by("open", order).alias("o"))
+    full = week_summary(bars, closed).join(last, ["contract", "week_no"], "left")
+    first = F.when(F.col("week_no") == 1, F.col("o"))
+    seed = lambda v: F.lit(0.0) if v in ("weekTotal", "weekVwapBandWidth") or v.endswith("StdDev1") else F.coalesce(first, F.lit(0.0))
+    return full.select("contract", "week_no", *[F.coalesce(F.col(v).cast("double"), seed(v)).alias(k) for k, v in WEEK_SCALARS.items()], "weekHigh", "weekLow")
+
+
+def state_vector(bars: DataFrame, closed: DataFrame) -> DataFrame:
+    """Fourteen numbers of every closed bar: OHLC, volume, VWAP with its band, Bollinger bands, RSI."""
+    mine = ["vwap", "vwapUpperStdDev1", "vwapLowerStdDev1", "vwapBandWidth", "bbMiddle", "bbUpper", "bbLower", "BBandWidth", "rsi"]
+    return bars.select(*BAR, "open", "high", "low", "close", "barTotalVolume").join(closed.select(*BAR, *mine), BAR)
+
+
+def documents(ticks: DataFrame, config: BarConfig = DEFAULT, hooks: Hooks = NONE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Flat bars (with week_no), sessions and weeks of a contract's document, after the hooks of each level."""
+    labelled = bars_.label(ticks, config).persist()
+    b = with_weeks(bars_.bars(labelled, config)).persist()
+    closed = closed_values(footprint.levels(labelled, config), b, config).persist()
+    flat = bars_flat(ticks, config).join(b.select(*BAR, "week_no"), BAR)
+    return hooks.bars(flat), hooks.days(day_scalars(b, closed, indicators.divergence(labelled, b, config))), hooks.weeks(week_scalars(b, closed))

@@ -24,7 +24,7 @@ def add_day_vwap(bars: DataFrame) -> DataFrame:
     t = t.withColumn("var_", F.when(F.col("V_") > 0, F.col("SPV_") / F.col("V_") - F.col("vwap") * F.col("vwap")))
     s = F.when(F.col("V_") > 0, F.when(F.col("var_") > 0, F.sqrt("var_")).otherwise(0.0))
     band = lambda k: F.coalesce(F.col("vwap") + k * s, F.lit(0.0))
-    t = t.select("*", band(1).alias("vwapUpperStdDev1"), band(-1).alias("vwapLowerStdDev1"), band(2).alias("vwapUpperStdDev2"), band(-2).alias("vwapLowerStdDev2"), (band(1) - band(-1)).alias("vwapBandWidth"), F.col("V_").alias("totalVolume"))
+    t = t.select("*", band(1).alias("vwapUpperStdDev1"), band(-1).alias("vwapLowerStdDev1"), band(2).alias("vwapUpperStdDev2"), band(-2).alias("vwapLowerStdDev2"), (band(1) - band(-1)).alias("vwapBandWidth"), F.col("V_").alias("totalVolume"), F.col("PV_").alias("cumulativePV"), F.col("SPV_").alias("cumulativeSquarePV"))
     return t.drop("V_", "PV_", "SPV_", "seed_", "var_")
 
 
@@ -113,7 +113,7 @@ def high_low_close(bars: DataFrame) -> DataFrame:
 def windowed(bars: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
     """All indicators that windows can state, at every bar close, over one distribution by session and one by week."""
     t = add_slope(add_zscore(add_day_vwap(bars), config))
-    return _at_close(add_week_vwap(add_high_low(t), config), [*_DAY_VWAP, "deltaZscore", "cumDelta5barSlope", *_HIGH_LOW, *_WEEK_VWAP])
+    return _at_close(add_week_vwap(add_high_low(t), config), [*_DAY_VWAP, "cumulativePV", "cumulativeSquarePV", "deltaZscore", "cumDelta5barSlope", *_HIGH_LOW, *_WEEK_VWAP])
 
 
 RECURRENT = "contract string, trade_date date, bar_idx int, bbMiddle double, variance double, bbUpper double, bbLower double, BBandWidth double, rsi double, avgGain double, avgLoss double"

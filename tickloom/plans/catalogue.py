@@ -439,32 +439,77 @@ def bars_training_table(spark, d):
     return features.bars_flat(_ticks(spark, d), keys=False)
 
 
-# --- documents, files, tables -----------------------------------------------------------------------------------------
+@registered(_simple(KEYS + "open:n high:n low:n close:n barTotalVolume:i vwap:n vwapUpperStdDev1:n vwapLowerStdDev1:n vwapBandWidth:n bbMiddle:n bbUpper:n bbLower:n BBandWidth:n rsi:n", "bars JOIN closedv USING (contract, trade_date, bar_idx)", "closedv", digits=4))
+def state_vector(spark, d):
+    return shown(features.state_vector(*_closed(spark, d)), 4)
+
+
+_DAY_DOC = "vwap:n vwapBandWidth:n BBandWidth:n rsi:n poc:n lastHighVolumeNode:n prevAvgGain:n prevAvgLoss:n cumulativePV:n totalVolume:i cumulativeDelta:i"
+_DAY_DOC_SQL = f"""SELECT contract AS contractName, CAST(isodow(trade_date) AS VARCHAR) AS dayOfTheWeek, n_bars, {sql_shown(_DAY_DOC, 4)} FROM (
+  SELECT s.contract, s.trade_date, s.n_bars, s.vwap, s.rsi, s.poc, s.totalVolume, s.cumulativeDelta, coalesce(l.vwapBandWidth, 0) AS vwapBandWidth, coalesce(l.BBandWidth, 0) AS BBandWidth, coalesce(l.hvn, 0) AS lastHighVolumeNode,
+         l.avgGain AS prevAvgGain, l.avgLoss AS prevAvgLoss, coalesce(p.PV, 0) AS cumulativePV
+  FROM dsummary s LEFT JOIN dlast l USING (contract, trade_date) LEFT JOIN (SELECT contract, trade_date, max_by(PV, bar_idx) AS PV FROM dsum GROUP BY ALL) p USING (contract, trade_date))"""
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
+    flat, days, weeks = features.documents(_ticks(spark, d))
+    return sinks.nested_contracts(flat, days, weeks)
+
+
+@registered(query(_DAY_DOC_SQL, "dsummary"))
+def contract_document_days(spark, d):
+    """Scalars of all sessions of the document, written as JSON and read again."""
+    docs, path = _documents(spark, d), _folder(spark, "contract-document")
+    sinks.write_json(docs, path)
+    back = sinks.read_json(spark, path, docs.schema).select("contractName", F.explode("weeks").alias("w")).select("contractName", F.explode("w.days").alias("x"))
+    return shown(back.select("contractName", "x.dayOfTheWeek", F.size("x.bars").alias("n_bars"), *[f"x.{w.split(':')[0]}" for w in _DAY_DOC.split()]), 4)
+
+
+_WEEK_DOC = "totalVolume:i vwap:n poc:n vah:n val:n weekHigh:n weekLow:n"
+
+
+@registered(query(f"""SELECT contract, week_no, {sql_shown(_WEEK_DOC, 4)} FROM (
+  SELECT s.contract, CAST(s.week_no AS BIGINT) AS week_no, s.weekHigh, s.weekLow, coalesce(l.profile_total, 0) AS totalVolume, coalesce(l.weekVwap, f.x, 0) AS vwap, coalesce(l.poc, f.x, 0) AS poc, coalesce(l.vah, f.x, 0) AS vah, coalesce(l.val, f.x, 0) AS val
+  FROM wsummary s LEFT JOIN (SELECT b.contract, b.week_no, p.*, v.weekVwap FROM weekp p JOIN bars b USING (contract, trade_date, bar_idx) JOIN wvwap v USING (contract, trade_date, bar_idx)
+    QUALIFY row_number() OVER (PARTITION BY b.contract, b.week_no ORDER BY b.trade_date DESC, b.bar_idx DESC) = 1) l ON l.contract = s.contract AND l.week_no = s.week_no
+  LEFT JOIN (SELECT contract, week_no, o AS x FROM wopen WHERE week_no = 1) f ON f.contract = s.contract AND f.week_no = s.week_no)""", "wsummary", "weekp", "wvwap"))
+def week_scalars(spark, d):
+    return shown(features.week_scalars(*_closed(spark, d)).select("contract", "week_no", *[w.split(":")[0] for w in _WEEK_DOC.split()]), 4).withColumn("totalVolume", F.col("totalVolume").cast("long"))
+
+
+# --- documents, files, tables -----------------------------------------------------------------------------------------
+
+
+def _small_documents(spark: SparkSession, d: str) -> DataFrame:
     labelled = _labelled(spark, d)
     b = features.with_weeks(bars_.bars(labelled))
     cols = b.join(footprint.nested(footprint.levels(labelled)), BAR)
     flat = cols.select(*BAR, "week_no", "startTime", "endTime", "open", "high", "low", "close", "barTotalVolume", "footprint", "delta", (F.weekday("trade_date") + 1).cast("string").alias("dayOfTheWeek"), F.col("week_no").cast("string").alias("weekOfTheContract"))
-    return sinks.nested_contracts(flat)
+    return flat
 
 
 @registered(query("SELECT contract AS contractName, count(DISTINCT week_no) AS n_weeks, count(DISTINCT trade_date) AS n_days, count(*) AS n_bars, CAST(sum(n) AS BIGINT) AS n_levels, CAST(sum(barTotalVolume) AS BIGINT) AS volume FROM bars JOIN (SELECT contract, trade_date, bar_idx, count(*) AS n FROM levels GROUP BY ALL) USING (contract, trade_date, bar_idx) GROUP BY contract", "bars", "levels"))
 def contract_nested(spark, d):
     total = lambda a, f: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + f(x))
     days = lambda f: total("weeks", lambda w: total(w["days"], f))
-    return shown(_documents(spark, d).select("contractName", F.size("weeks").alias("n_weeks"), days(lambda x: F.lit(1)).alias("n_days"), days(lambda x: F.size(x["bars"])).alias("n_bars"), days(lambda x: total(x["bars"], lambda b: F.size(b["footprint"]))).alias("n_levels"), days(lambda x: total(x["bars"], lambda b: b["barTotalVolume"])).alias("volume")))
+    return shown(sinks.nested_contracts(_small_documents(spark, d)).select("contractName", F.size("weeks").alias("n_weeks"), days(lambda x: F.lit(1)).alias("n_days"), days(lambda x: F.size(x["bars"])).alias("n_bars"), days(lambda x: total(x["bars"], lambda b: F.size(b["footprint"]))).alias("n_levels"), days(lambda x: total(x["bars"], lambda b: b["barTotalVolume"])).alias("volume")))
 
 
 @registered(query("SELECT contract AS contractName, CAST(week_no AS VARCHAR) AS weekOfTheContract, CAST(isodow(trade_date) AS VARCHAR) AS dayOfTheWeek, startTime, endTime, open, high, low, close, barTotalVolume, delta, n AS n_levels FROM bars JOIN (SELECT contract, trade_date, bar_idx, count(*) AS n FROM levels GROUP BY ALL) USING (contract, trade_date, bar_idx)", "bars", "levels"))
 def contract_json_roundtrip(spark, d):
-    docs, path = _documents(spark, d), _folder(spark, "contract-json")
+    docs, path = sinks.nested_contracts(_small_documents(spark, d)), _folder(spark, "contract-json")
     sinks.write_json(docs, path)
     back = sinks.flatten(sinks.read_json(spark, path, docs.schema))
     return shown(back.select("contractName", "weekOfTheContract", "dayOfTheWeek", "startTime", "endTime", "open", "high", "low", "close", "barTotalVolume", "delta", F.size("footprint").alias("n_levels")))
 
 
+@registered(query("SELECT contract AS contractName, CAST(week_no AS VARCHAR) AS weekOfTheContract, CAST(isodow(trade_date) AS VARCHAR) AS dayOfTheWeek, startTime, endTime, open, high, low, close, barTotalVolume FROM bars", "bars"))
+def nested_parquet_roundtrip(spark, d):
+    path = _folder(spark, "contract-parquet")
+    sinks.write_nested_parquet(_small_documents(spark, d), path)
+    return shown(sinks.flatten(spark.read.parquet(path)).select("contractName", "weekOfTheContract", "dayOfTheWeek", "startTime", "endTime", "open", "high", "low", "close", "barTotalVolume"))
+
+
 @registered(_simple("contract id:i DateTime:t Price:n", "ticks", "ticks").replace("SELECT contract", "SELECT strftime(DateTime, '%Y') AS year, strftime(DateTime, '%m') AS month, strftime(DateTime, '%d') AS day, contract"))
 def partitioned_roundtrip(spark, d):
     path = _folder(spark, "ticks-by-day")

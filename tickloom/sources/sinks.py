@@ -27,14 +27,27 @@ def read_days(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def nested_contracts(flat: DataFrame) -> DataFrame:
+def nested_contracts(flat: DataFrame, days: DataFrame | None = None, weeks: DataFrame | None = None) -> DataFrame:
     """One document per contract: weeks of days of bars, each level in order. ``flat`` has contract, week_no, trade_date,
-    bar_idx and the columns of a bar."""
+    bar_idx and the columns of a bar; the scalars of ``days`` and ``weeks`` stand beside what they contain."""
     bar_cols = [c for c in flat.columns if c not in (*DAY, "bar_idx", "week_no", "dayOfTheWeek", "weekOfTheContract")]
     strip = lambda col, names: F.transform(F.array_sort(F.collect_list(col)), lambda x: F.struct(*[x[n].alias(n) for n in names]))
-    days = flat.groupBy("contract", "week_no", "trade_date").agg(F.first("dayOfTheWeek").alias("dayOfTheWeek"), F.first("weekOfTheContract").alias("weekOfTheContract"), strip(F.struct("bar_idx", *bar_cols), bar_cols).alias("bars"))
-    weeks = days.groupBy("contract", "week_no").agg(F.first("weekOfTheContract").alias("weekOfTheContract"), strip(F.struct("trade_date", "dayOfTheWeek", "bars"), ["dayOfTheWeek", "bars"]).alias("days"))
-    return weeks.groupBy("contract").agg(strip(F.struct("week_no", "weekOfTheContract", "days"), ["weekOfTheContract", "days"]).alias("weeks")).select(F.col("contract").alias("contractName"), "weeks")
+    d = flat.groupBy("contract", "week_no", "trade_date").agg(F.first("dayOfTheWeek").alias("dayOfTheWeek"), F.first("weekOfTheContract").alias("weekOfTheContract"), strip(F.struct("bar_idx", *bar_cols), bar_cols).alias("bars"))
+    day_cols = [] if days is None else [c for c in days.columns if c not in (*DAY, "week_no")]
+    if days is not None:
+        d = d.join(days.drop("week_no"), DAY)
+    w = d.groupBy("contract", "week_no").agg(F.first("weekOfTheContract").alias("weekOfTheContract"), strip(F.struct("trade_date", "dayOfTheWeek", "bars", *day_cols), ["dayOfTheWeek", "bars", *day_cols]).alias("days"))
+    week_cols = [] if weeks is None else [c for c in weeks.columns if c not in ("contract", "week_no")]
+    if weeks is not None:
+        w = w.join(weeks, ["contract", "week_no"])
+    top = strip(F.struct("week_no", "weekOfTheContract", "days", *week_cols), ["weekOfTheContract", "days", *week_cols])
+    return w.groupBy("contract").agg(top.alias("weeks")).select(F.col("contract").alias("contractName"), "weeks")
+
+
+def write_nested_parquet(flat: DataFrame, path: str) -> None:
+    """Documents of weeks of days of bars with their seven basic columns only, as nested Parquet."""
+    basic = ["startTime", "endTime", "open", "high", "low", "close", "barTotalVolume"]
+    nested_contracts(flat.select(*DAY, "bar_idx", "week_no", *basic, "dayOfTheWeek", "weekOfTheContract")).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def write_json(documents: DataFrame, path: str) -> None:
