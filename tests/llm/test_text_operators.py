@@ -98,6 +98,7 @@ def test_decontamination(spark, limit):
     got = {r.doc_id: tuple(r)[1:] for r in decontam.digest(decontam.find_hits(docs, bench, ["doc_id"], broadcast_bytes=limit)).collect()}
     assert got == decontam_brute(enumerate(texts), items)
     assert decontam.find_hits(docs, bench.where("false"), ["doc_id"]).where("size(spans) > 0").count() == 0
+    assert decontam.find_hits(docs.unionByName(docs), bench, ["doc_id", "n_words"], broadcast_bytes=limit).count() == 2 * len(texts)
     spans = decontam.find_hits(docs, bench, ["doc_id", "text"], broadcast_bytes=limit).where("size(spans) > 0").collect()
     for r in spans:
         raw = r.text.encode()

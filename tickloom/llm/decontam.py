@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import FOLD_AZ, Words, byte_table, map_text, window_hashes
 
 WINDOW = 13
-BROADCAST_BYTES = 32 << 20
+#: A window takes some 250 bytes of memory in every Python worker, and a text of this size has about 400,000.
+BROADCAST_BYTES = 2 << 20
 #: Word bytes: all but 00-2F, 3A-60 and 7B-7F, after A-Z became a-z.
 WORD = byte_table(lambda b: not (b <= 0x2F or 0x3A <= FOLD_AZ[b] <= 0x60 or 0x7B <= b <= 0x7F))
 
@@ -94,8 +95,10 @@ def find_hits(docs: DataFrame, bench: DataFrame, keep: list[str], text: str = "t
 
     if parts == 1:
         return one(small, docs, keep)
-    keyed = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    passes = [one(small.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k), keyed, [*keep, "__row"]) for k in range(parts)]
+    row = [F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in docs.columns]).alias(f"__row{k}") for k in (1, 2)]
+    keyed = docs.select("*", *row)
+    names = ["__row1", "__row2"]
+    passes = [one(small.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k), keyed, names) for k in range(parts)]
     union = passes[0]
     for p in passes[1:]:
         union = union.unionByName(p)
@@ -106,9 +109,9 @@ def find_hits(docs: DataFrame, bench: DataFrame, keep: list[str], text: str = "t
             F.element_at(acc, -1)["from_byte"].alias("from_byte"), F.greatest(F.element_at(acc, -1)["to_byte"], s["to_byte"]).alias("to_byte"),
         )))).otherwise(F.concat(acc, F.array(s))),
     )
-    keys = [F.col(f"`{c}`") for c in keep if c not in FOUND.names]
-    grouped = union.groupBy(*keys, "__row").agg(F.first("n_words").alias("n_words"), merged.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return grouped.drop("__row")
+    grouped = union.groupBy(*names).agg(F.first("n_words").alias("n_words"), merged.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    kept = [F.col(f"`{c}`") for c in keep if c not in FOUND.names]
+    return keyed.select(*kept, *names).join(grouped.hint("merge"), names).drop(*names)
 
 
 def judged(hits: DataFrame) -> DataFrame:
