@@ -330,15 +330,15 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     met = stored(rows.repartition(place).sortWithinPartitions("q", "c1", "c2").mapInArrow(_meet, MET))
     asked = met.where("kind = 1").groupBy("kid", "th").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("asked"))
     texts = _packed(docs, id_col, text).select("kid", "th", "z").join(asked.hint("merge"), ["kid", "th"]).dropDuplicates(["kid", "th"])
-    many = [r.q for r in met.where("kind = 1").groupBy("q").count().where(F.col("count") > hot).select("q").limit(100_000).collect()]
+    crowded = met.where("kind = 1").groupBy("q").count().where(F.col("count") > hot).select("q")
     context = texts.select("kid", "th", "z", "asked").mapInArrow(_contexts(length), "q long, kid long, th long, lo int, ctx binary")
     out = met.where("kind = 0").select("kid", "th", "lo", "hi")
-    if many:
-        context = stored(context)
-        windows = context.where(F.col("q").isin(many)).mapInArrow(_window_rows(length), "w1 long, w2 long, kid long, th long, s int")
+    if crowded.take(1):
+        context, crowded = stored(context), stored(crowded)
+        windows = context.join(crowded, "q", "left_semi").mapInArrow(_window_rows(length), "w1 long, w2 long, kid long, th long, s int")
         again = windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
         out = out.unionByName(windows.join(again, ["w1", "w2"]).select("kid", "th", F.col("s").alias("lo"), F.col("s").alias("hi")))
-        context = context.where(~F.col("q").isin(many))
+        context = context.join(crowded, "q", "left_anti")
     return out.unionByName(context.repartition("q").sortWithinPartitions("q").mapInArrow(_refine_buckets(length), SPANS))
 
 
