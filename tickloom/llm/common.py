@@ -37,6 +37,14 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """An aggregate dealt out evenly once more, so that a join by ``key`` brings both sides by exchanges of its own.
+
+    Only then can adaptive execution split a hot key; directly above an aggregate the join would reuse its distribution.
+    """
+    return df.repartition(F.xxhash64(key, F.lit(7)))
+
+
 def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column (null: empty) and the n + 1 offsets into them."""
     col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import spread, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -27,11 +27,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # large-star: every larger neighbour goes to the smallest of the node and its neighbours
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        large = both.join(spread(least, "a"), "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         # small-star: the smaller neighbours of a node, and itself, go to the smallest of them
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        moved = down.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = down.join(spread(least, "a"), "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = stored(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         after = _mark(links)
         if after == before:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import FOLD_AZ, Words, byte_table, map_text, mix, stored, window_hashes
+from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, window_hashes
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
@@ -164,7 +164,7 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
         nodes = nodes.select("rep", "sig", F.explode(_selected(F.col("node"), F.col("sig"), similarity)).alias("node"))
     rows = stored(nodes.select("node", "rep"))
     counts = rows.groupBy("node").count().where("count > 1")
-    live = rows.join(counts, "node")
+    live = rows.join(spread(counts, "node").hint("merge"), "node")
     live = stored(live.join(reps, "rep").select("node", "rep", "sig", "count", F.lit(1 << 60).cast("long").alias("parent")))
     leaves = []
     for level in range(LEVELS + 1):
@@ -183,7 +183,7 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
             break
         grown = big.where(F.col("count") < 0.7 * F.col("parent")).select("rep", "sig", F.col("count").alias("parent"), F.explode(_selected(F.col("node"), F.col("sig"), similarity)).alias("node"))
         sizes = grown.groupBy("node").count().where("count > 1")
-        live = stored(grown.join(sizes, "node").select("node", "rep", "sig", "count", "parent"))
+        live = stored(grown.join(spread(sizes, "node").hint("merge"), "node").select("node", "rep", "sig", "count", "parent"))
     union = leaves[0]
     for more in leaves[1:]:
         union = union.unionByName(more)
