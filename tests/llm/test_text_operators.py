@@ -137,6 +137,18 @@ def test_secrets(spark):
     assert secretscan.digest(docs.where("false")).count() == 0
 
 
+def test_markov_spans(spark):
+    rnd = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    odd = ["".join(rnd.choices(letters, k=24)) for _ in range(10)] + [rnd.randbytes(14).hex().upper() for _ in range(5)]
+    plain = ["ordinary_identifier_names2", "getCustomerOrderHistory2024", "there-would-have-been-2-of-them", "wouldtheybeherewithherthen1"]
+    names = "getItemList userName3 setOrderId HistoryEntry2023 loadCustomer page2024 OrderHistory newCustomerName fooBar12".split()
+    texts = [prose(rnd, 120) + f" password={rnd.randbytes(9).hex()} " + " ".join(rnd.choices(names, k=9)) for _ in range(60)] + [f"hello {w} there" for w in odd + plain]
+    got = {r.doc_id: r.spans for r in secretscan.digest(frame(spark, texts)).collect()}
+    assert sum(got[60 + i] == f"markov:6:{6 + len(w)}" for i, w in enumerate(odd)) >= 14
+    assert all(got[60 + len(odd) + i] == "" for i in range(len(plain)))
+
+
 # --- trained classifiers ----------------------------------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ Base kinds, leftmost and non-overlapping each: ``assign`` (a keyword with a valu
 (AKIA..., 20 and more), ``hex`` (24 and more). The kind ``markov`` adds runs of 20 and more key characters with a digit
 and a letter, outside of base spans, that read more like random strings than like ordinary identifiers: the mean
 log-likelihood ratio of two first-order character models exceeds ``LIMIT``. The models are counted from labelled samples:
-values of the base patterns in all documents against the words of ``ORDINARY_DOCS`` documents of small id hash.
+values of the base patterns in all documents, also in upper case, against the words of ``ORDINARY_DOCS`` documents of small
+id hash; each is mixed with equal chances of all symbols (a larger part of the random one). Signs say nothing.
 
 Positions are code points, end exclusive. Null texts are empty; empty texts have no spans; equal rows stay equal rows.
 """
@@ -76,15 +77,19 @@ def train(docs: DataFrame, text: str = "text", ordinary_docs: int = ORDINARY_DOC
     random = t.where(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).select(F.explode(F.concat(values, F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))).alias("w"))
     total = max(1, docs.count())
     few = t.where(F.pmod("h", F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, ordinary_docs / total))))
-    clean = F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), HEX, " ")
+    clean = F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), RUN, " ")  # long runs are what is judged, not what is learned
     ordinary = few.select(F.explode(F.regexp_extract_all(clean, F.lit(r"[A-Za-z0-9_]{4,}"), F.lit(0))).alias("w"))
+    random = random.select(F.explode(F.array("w", F.upper("w"))).alias("w"))
     logs = []
-    for words in (random, ordinary):
+    for words, uniform, weight in ((random, 0.3, 0.0), (ordinary, 0.02, 20.0)):
         counts = {r.pair: r["count"] for r in _pairs(words, "w").collect()}  # SIDE * SIDE rows at most
+        rows = [[counts.get(a * SIDE + b, 0) if b else 0 for b in range(SIDE)] for a in range(SIDE)]
+        total = sum(map(sum, rows[1:]))
+        single = [(sum(r[b] for r in rows[1:]) + 1.0) / (total + len(SYMBOLS)) for b in range(SIDE)]  # what rare symbols fall back to
         table = []
-        for a in range(SIDE):
-            row = [counts.get(a * SIDE + b, 0) + 1.0 for b in range(SIDE)]
-            table += [math.log(x / sum(row)) for x in row]
+        for a, row in enumerate(rows):
+            n = sum(row) + weight
+            table += [math.log((1 - uniform) * ((x + weight * single[b]) / n if n else 1 / len(SYMBOLS)) + uniform / len(SYMBOLS)) if a and b else 0.0 for b, x in enumerate(row)]
         logs.append(table)
     return [a - b for a, b in zip(*logs)]
 
