@@ -334,7 +334,7 @@ def repeats_brute(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
+@pytest.mark.parametrize("hot", [substrdup.HOT, 2])
 def test_repeated_substrings(spark, hot, monkeypatch):
     rnd = random.Random(8)
     monkeypatch.setattr(substrdup, "SEGMENT", 3000)

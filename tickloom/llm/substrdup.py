@@ -28,7 +28,7 @@ from .common import BYTE_CODE, CHUNK_BYTES, chunks, flat, map_text, mix, stored
 
 LENGTH, GRAM = 200, 32
 #: Window starts of a long text that are looked at together; distinct contexts of a bucket that one task refines.
-SEGMENT, HOT = 1 << 18, 20_000
+SEGMENT, HOT = 1 << 18, 4_000
 _MASK = np.uint64((1 << 21) - 1)
 _STEPS = [(1, np.uint64(0x9E3779B97F4A7C15 | 1)), (2, np.uint64(0xC2B2AE3D27D4EB4F | 1)), (4, np.uint64(0xD6E8FEB86659FD93 | 1)), (8, np.uint64(0xA0761D6478BD642F | 1)), (16, np.uint64(0xE7037ED1A0B428DB | 1))]
 
@@ -232,7 +232,7 @@ def _spans(kid: np.ndarray, th: np.ndarray, lo: np.ndarray, offs: np.ndarray, hi
 
 def _refine_buckets(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (q, kid, th, lo, ctx) sorted by q; whole buckets of some MB are refined together."""
+        """Rows (q, kid, th, lo, ctx) sorted by q; whole buckets of half a MB are refined together."""
         held: list[pa.RecordBatch] = []
         size = 0
 
@@ -242,10 +242,10 @@ def _refine_buckets(length: int):
             return _spans(kid, th, lo.astype(np.int64), offs, refine(data, offs, length))
 
         for batch in batches:
-            for small in chunks(batch, 4):
+            for small in chunks(batch, 4, CHUNK_BYTES // 4):
                 held.append(small)
                 size += small.nbytes
-                if size > 2 * CHUNK_BYTES:
+                if size > CHUNK_BYTES // 2:
                     table = pa.Table.from_batches(held)
                     q = table.column("q").to_numpy()
                     cut = int(np.searchsorted(q, q[-1]))
