@@ -65,7 +65,7 @@ def chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
-def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType, kernel: Callable, name: str = "__text") -> DataFrame:
+def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType, kernel: Callable, name: str = "__text", limit: int = CHUNK_BYTES) -> DataFrame:
     """``keep`` columns of ``docs`` with the columns of ``kernel(data, offsets) -> list of arrays`` beside them.
 
     The kernel sees flat bytes of whole texts. Of a kept column that has the name of an output, the output stays.
@@ -77,7 +77,7 @@ def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, len(kept)):
+            for part in chunks(batch, len(kept), limit):
                 found = kernel(*flat(part.column(len(kept))))
                 made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for x, f in zip(found, list(arrow)[len(kept) :], strict=True)]
                 yield pa.RecordBatch.from_arrays([*[part.column(i).cast(arrow.field(i).type) for i in range(len(kept))], *made], schema=arrow)

@@ -25,6 +25,8 @@ from .common import map_text
 SPACE = "▁"
 #: Words kept with their ids in each Python worker; then the memory is cleared.
 CACHE_WORDS = 300_000
+#: Bytes of text whose new words are merged together: a round costs the same for few words as for many.
+MERGE_BYTES = 2 << 20
 NONE = np.int64(1 << 40)
 
 
@@ -211,4 +213,4 @@ def tokenize(docs: DataFrame, path: str, keep: list[str], text: str = "text", id
             out += [[hashlib.sha256(x).hexdigest() for x in got], [hashlib.sha256(x.encode()).hexdigest() for x in back]]
         return out
 
-    return map_text(docs, text, keep, T.StructType(fields), kernel)
+    return map_text(docs, text, keep, T.StructType(fields), kernel, limit=MERGE_BYTES)
