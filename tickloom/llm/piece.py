@@ -39,6 +39,41 @@ import codecs  # noqa: E402
 codecs.register_error("tickloom.each_byte", _each_byte)
 
 
+class PairTable:
+    """Pairs of symbols with their rank and piece, by open addressing in a sparse table; all look-ups of a round at once."""
+
+    def __init__(self, keys: np.ndarray, ranks: np.ndarray, made: np.ndarray):
+        bits = max(10, int(len(keys) * 8 - 1).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key = np.full(1 << bits, -1, np.int64)
+        at, wait = self._slot(keys), np.arange(len(keys))
+        where = np.zeros(len(keys), np.int64)
+        while len(wait):  # in every round the first key that wants a free slot gets it
+            slots, first = np.unique(at[wait], return_index=True)
+            free = self.key[slots] < 0
+            won = wait[first[free]]
+            self.key[at[won]], where[won] = keys[won], at[won]
+            wait = np.setdiff1d(wait, won, assume_unique=True)
+            at[wait] = (at[wait] + 1) & self.mask
+        # of a pair that makes no piece: rank NONE
+        self.rank, self.made = np.full(1 << bits, NONE), np.zeros(1 << bits, np.int64)
+        self.rank[where], self.made[where] = ranks, made
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each pair."""
+        at = self._slot(keys)
+        there = self.key[at]
+        off = np.flatnonzero((there != keys) & (there >= 0))
+        while len(off):
+            at[off] = (at[off] + 1) & self.mask
+            there[off] = self.key[at[off]]
+            off = off[(there[off] != keys[off]) & (there[off] >= 0)]
+        return self.rank[at], self.made[at]
+
+
 class PieceModel:
     """Vocabulary and merge table of a SentencePiece BPE model file."""
 
@@ -83,8 +118,7 @@ class PieceModel:
                 for part in (a, b):
                     if part is not None and dense[i] <= dense[part]:
                         safe[part] = False
-        order = np.argsort(np.array(keys))
-        self.keys, self.ranks, self.made = np.array(keys)[order], np.array(ranks, np.int64)[order], np.array(made, np.int64)[order]
+        self.pairs = PairTable(np.array(keys, np.int64), np.array(ranks, np.int64), np.array(made, np.int64))
         self.safe = safe
         long = {c for p in by_text if len(p) > 1 for c in p}
         if any(SPACE in p.strip(SPACE) or (p[-1] == SPACE and p.strip(SPACE)) for p in by_text):
@@ -93,8 +127,8 @@ class PieceModel:
 
     # -- encoding ------------------------------------------------------------------------------------------------------
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def merge(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian unsigned 32-bit integers."""
         text = "".join(words)
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         distinct, where = np.unique(points, return_inverse=True)
@@ -102,43 +136,59 @@ class PieceModel:
         seg = np.repeat(np.arange(len(words)), [len(w) for w in words])
         # finished words leave the arrays; their symbols stay here
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank, piece = self._ranked(sym, seg, np.arange(len(sym)))
         while len(sym):
-            key = sym[:-1] * self.n + sym[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = (self.keys[at] == key) & (seg[:-1] == seg[1:]) & (sym[:-1] < self.n) & (sym[1:] < self.n)
-            rank = np.append(np.where(ok, self.ranks[at], NONE), NONE)
             first = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
             best = np.minimum.reduceat(rank, first)
             sizes = np.diff(np.append(first, len(sym)))
             live = best < NONE
-            mine = np.repeat(best, sizes)
-            stay = np.repeat(live, sizes)
-            if not stay.all():
+            if not live.all():
+                stay = np.repeat(live, sizes)
                 done.append((seg[~stay], sym[~stay]))
-            hit = np.flatnonzero((rank == mine) & stay)
-            if not len(hit):
-                break
-            piece = self.made[at[hit]]
+                sym, seg, rank, piece = sym[stay], seg[stay], rank[stay], piece[stay]
+                best, sizes = best[live], sizes[live]
+                if not len(sym):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(best, sizes))
             head = np.append(True, seg[hit[1:]] != seg[hit[:-1]])
             # leftmost of overlapping places: in a run of neighbouring hits every second one counts
             run = np.append(True, (hit[1:] != hit[:-1] + 1) | head[1:])
             index = np.arange(len(hit))
             even = (index - np.maximum.accumulate(np.where(run, index, 0))) % 2 == 0
-            take = head | (self.safe[piece] & even & np.repeat(self.safe[piece[head]], np.diff(np.append(np.flatnonzero(head), len(hit)))))
-            hit, piece = hit[take], piece[take]
-            sym = sym.copy()
-            sym[hit] = piece
+            take = head | (even & self.safe[piece[hit]])  # all hits of a word make the same piece
+            hit = hit[take]
+            sym[hit] = piece[hit]
+            stay = np.ones(len(sym), bool)
             stay[hit + 1] = False
-            sym, seg = sym[stay], seg[stay]
+            new = hit - np.arange(len(hit))  # where the merged symbols are after compaction
+            sym, seg, rank, piece = sym[stay], seg[stay], rank[stay], piece[stay]
+            near = np.concatenate([new, new[new > 0] - 1])  # only pairs with a merged symbol have changed
+            rank[near], piece[near] = self._ranked(sym, seg, near)
         segs = np.concatenate([s for s, _ in done]) if done else np.zeros(0, np.int64)
         syms = np.concatenate([s for _, s in done]) if done else np.zeros(0, np.int64)
         order = np.argsort(segs, kind="stable")
         segs, syms = segs[order], syms[order]
-        parts = np.split(syms, np.searchsorted(segs, np.arange(1, len(words))))
-        extra = {self.n + k: self.byte_id[list(chr(c).encode("utf-8", "replace"))] for k, c in enumerate(distinct) if chr(c) not in self.of_char}
-        if not extra:
-            return parts
-        return [np.concatenate([extra[s] if s >= self.n else [s] for s in p.tolist()]).astype(np.int64) if len(p) and p.max() >= self.n else p for p in parts]
+        if len(syms) and syms.max() >= self.n:  # characters without a piece: their bytes
+            extra = {self.n + k: self.byte_id[list(chr(c).encode("utf-8", "replace"))] for k, c in enumerate(distinct) if chr(c) not in self.of_char}
+            odd = np.flatnonzero(syms >= self.n)
+            parts = [extra[x] for x in syms[odd].tolist()]
+            n = np.ones(len(syms), np.int64)
+            n[odd] = [len(p) for p in parts]
+            ends = np.cumsum(n)
+            syms, segs = np.repeat(syms, n), np.repeat(segs, n)
+            for i, p in zip(odd.tolist(), parts):
+                syms[ends[i] - len(p) : ends[i]] = p
+        raw = syms.astype("<u4").tobytes()
+        at = (np.searchsorted(segs, np.arange(len(words) + 1)) * 4).tolist()
+        return [raw[x:y] for x, y in zip(at, at[1:])]
+
+    def _ranked(self, sym: np.ndarray, seg: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of the symbols at ``at`` with the next one of the same word."""
+        nxt = np.minimum(at + 1, len(sym) - 1)
+        a, b = sym[at], sym[nxt]
+        ok = (nxt > at) & (seg[at] == seg[nxt]) & (a < self.n) & (b < self.n)
+        rank, piece = self.pairs.find(np.where(ok, a * self.n + b, 0))
+        return np.where(ok, rank, NONE), piece
 
     def split(self, text: str) -> list[str]:
         return self.splitter.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -150,8 +200,7 @@ class PieceModel:
         if len(cache) + len(fresh) > CACHE_WORDS:
             cache.clear()
             fresh = list(dict.fromkeys(w for words in split for w in words))
-        for w, ids in zip(fresh, self.merge(fresh) if fresh else []):
-            cache[w] = ids.astype("<u4").tobytes()
+        cache.update(zip(fresh, self.merge(fresh) if fresh else []))
         a, b = (np.array([x], "<u4").tobytes() if begin_end and x >= 0 else b"" for x in (self.bos, self.eos))
         get = cache.__getitem__
         return [a + b"".join(map(get, words)) + b for words in split]
