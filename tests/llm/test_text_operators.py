@@ -199,23 +199,77 @@ def test_toxicity(spark):
     assert len({r.score for r in toxicity.digest(docs, labels.where("false")).collect()}) == 1
 
 
-def test_crf_marginals_equal_enumeration():
+def chain(sizes, weights):
+    """Words of documents of the given sizes, and a run of the field over them."""
+    import numpy as np
+
+    emit, trans, start = weights
+    words = toxicity._arrays([" ".join("w" for _ in range(n)) for n in sizes])
+    chains = toxicity.Chains(words)
+    fore, back, post, logz = chains.run(np.exp(emit), np.exp(trans), float(np.exp(start)))
+    return post, logz, chains.pairs(fore, back, np.exp(trans), np.ones(len(emit)))
+
+
+def test_crf_equals_enumeration():
     import itertools
     import math
 
     import numpy as np
 
     rnd = np.random.default_rng(1)
-    for size in (1, 2, 5):
+    for size in (1, 2, 5, 9):
         e, trans, start = rnd.normal(size=size), rnd.normal(size=(2, 2)), 0.3
-        weight, total = np.zeros(size), 0.0
+        weight, total, pairs = np.zeros(size), 0.0, np.zeros((2, 2))
         for tags in itertools.product((0, 1), repeat=size):
             w = math.exp(sum(e[i] for i in range(size) if tags[i]) + start * tags[0] + sum(trans[a, b] for a, b in itertools.pairwise(tags)))
             total += w
             weight += w * np.array(tags)
-        got = toxicity.marginals(e, np.array([0]), np.array([size]), trans, start)
-        post, logz, _ = toxicity.forward_backward(e[None], np.array([size]), np.exp(trans), start)
-        assert np.allclose(got, weight / total) and np.allclose(post[0], weight / total) and abs(logz[0] - math.log(total)) < 1e-9
+            for a, b in itertools.pairwise(tags):
+                pairs[a, b] += w
+        post, logz, found = chain([size], (e, trans, start))
+        assert np.allclose(post, weight / total) and abs(logz[0] - math.log(total)) < 1e-9 and np.allclose(found, pairs / total)
+
+
+def test_crf_runs_over_whole_documents():
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    sizes = [1000, 0, 63, 64, 65, 1, 128, 129, 4000]
+    e, trans, start = rnd.normal(size=sum(sizes)), rnd.normal(size=(2, 2)), -0.4
+    post, logz, _ = chain(sizes, (e, trans, start))
+    at = 0
+    for size, z in zip(sizes, logz):
+        x, t = np.exp(e[at : at + size]), np.exp(trans)
+        fore, back, total = np.zeros((size, 2)), np.ones((size, 2)), 0.0
+        for i in range(size):
+            a = np.array([1, np.exp(start)]) if not i else fore[i - 1] @ t
+            a = a * [1, x[i]]
+            total += np.log(a.sum())
+            fore[i] = a / a.sum()
+        for i in range(size - 2, -1, -1):
+            b = t @ (back[i + 1] * [1, x[i + 1]])
+            back[i] = b / b.sum()
+        want = fore * back
+        assert size == 0 or np.allclose(post[at : at + size], want[:, 1] / want.sum(1))
+        assert abs(z - total) < 1e-8
+        at += size
+
+
+def test_toxicity_of_a_rare_language(spark):
+    def make(rnd, i):
+        rare = i % 12 == 0
+        w = (prose(rnd, rnd.randrange(30, 150)).split() if not rare else [rnd.choice(["kalo", "mera", "tuni", "sopal", "rike"]) + rnd.choice(["s", "n", "", "ta"]) for _ in range(60)])
+        bad = i % 60 == 0 if rare else i % 5 == 0
+        for _ in range(rnd.randrange(1, 4) if bad else 0):
+            w.insert(rnd.randrange(len(w)), "bomente" + rnd.choice(["co", "rr", "ja", "do", "li"]) if rare else rnd.choice(["vilexa", "grumbag"]))
+        return " ".join(w), int(bad)
+
+    docs, labels, truth = labelled(spark, make, 1800, "toxic")
+    rows = {r.doc_id: r for r in toxicity.digest(docs, labels).collect()}
+    rare = [i for i in range(0, 1800, 60) if rows[i].held_out]
+    assert len(rare) >= 5 and sum(rows[i].predicted for i in rare) >= 0.9 * len(rare)
+    clean = [i for i in range(0, 1800, 12) if i % 60 and rows[i].held_out]
+    assert sum(rows[i].predicted for i in clean) <= 0.05 * len(clean) + 1
 
 
 def test_language(spark):

@@ -1,16 +1,17 @@
 """Toxicity by a linear-chain conditional random field over words.
 
 Words are tagged toxic or not; the features of a word are hashes of the whole word and of its first 3 to 6 bytes, in
-lower case. Labels are of documents, so the tokens of the training texts are labelled first: the features that occur
-(almost) only in toxic training documents and together explain these documents mark their words there as toxic. On these labelled tokens the
-field (emissions and transitions) is fitted by AdaGrad on the exact gradient of its likelihood. In a document,
-forward-backward runs over windows of at most ``WINDOW`` words; a word's marginal is its probability to be toxic. The
+lower case. No token labels exist: the data label documents only. So the tags are hidden, and the field is fitted on the
+document labels: a clean document has no toxic word, a toxic one has at least one. Both chances come from forward-backward
+over the whole document (``train``), and emissions and transitions follow the exact gradient of their likelihood by
+AdaGrad, from a start at the features' log-odds among documents. A word's marginal is its probability to be toxic. The
 document's score is a logistic function, fitted on other labelled documents, of the strongest marginal and of the
 expected number of toxic words; offending offsets are spans of words with marginals of 0.5 and more.
 
 The fit takes a bounded sample (``PER_CLASS`` rows of each class, texts of at most ``SAMPLE_CHARS`` characters). Null
 and empty texts have no words and get the score of a document without any toxic word. Without rows of both classes
-every score is the share of label 1.
+every score is the share of label 1 (0.5 without labels). Rows without an id are scored and not held out; equal rows stay
+equal rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ import dataclasses
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import Words, byte_table, labelled_sample, map_text, mix, platt, remainder, sigmoid
+from .common import Words, byte_table, held_out, labelled_sample, map_text, mix, platt, sigmoid
 
-PER_CLASS, SAMPLE_CHARS, WINDOW, BITS = 1500, 12_000, 64, 18
+PER_CLASS, SAMPLE_CHARS, BITS = 1500, 12_000, 18
+#: Words that run side by side with others; emission weights are clipped; steps of the fit and its pull to the start.
+BLOCK, CLIP, ROUNDS, RIDGE = 64, 20.0, 60, 0.1
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
 #: Marginals below count for nothing, so that long texts do not add up noise.
@@ -45,67 +48,114 @@ def features(words: Words) -> list[np.ndarray]:
     return out
 
 
-def windows(words: Words, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """First word and length of each window; none crosses documents."""
-    n = -(-words.count // size)
-    doc = np.repeat(np.arange(len(n)), n)
-    k = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-    first = words.first[doc] + k * size
-    return first, np.minimum(size, words.first[doc + 1] - first)
+class Chains:
+    """Forward-backward over whole documents, linear in their words.
 
-
-def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals p(toxic), log Z, and pair marginals of each window; rows of ``emit`` are padded log-odds for tag 1.
-
-    ``trans`` holds exp of the four transition weights; ``start`` is the weight of a toxic first word.
+    Words are dealt into blocks of ``BLOCK`` for speed only: the 2 x 2 transfer matrices of all blocks are multiplied out
+    side by side, a scan over the blocks of each document carries the messages across, and with them every block runs its
+    own recurrences. All messages equal those of one uncut run.
     """
-    n, size = emit.shape
-    e = np.exp(np.clip(emit, -40, 40))
-    alpha = np.zeros((size, n, 2))
-    scale = np.zeros((size, n))
-    beta = np.ones((size, n, 2))
-    a = np.stack([np.ones(n), e[:, 0] * np.exp(start)], 1)
-    for t in range(size):
-        if t:
-            a = np.stack([a @ trans[:, 0], (a @ trans[:, 1]) * e[:, t]], 1)
-        c = a.sum(1)
-        a = a / c[:, None]
-        alpha[t], scale[t] = a, np.log(c)
-    b = np.ones((n, 2))
-    for t in range(size - 2, -1, -1):
-        inside = (t + 1 < length)[:, None]
-        nxt = np.stack([b[:, 0], b[:, 1] * e[:, t + 1]], 1) @ trans.T
-        b = np.where(inside, nxt / nxt.sum(1, keepdims=True), 1.0)
-        beta[t] = b
-    post = alpha * beta
-    post /= post.sum(2, keepdims=True)
-    logz = np.where(np.arange(size)[:, None] < length, scale, 0).sum(0)
-    pair = alpha[:-1, :, :, None] * trans * (beta[1:] * np.stack([np.ones((size - 1, n)), e.T[1:]], 2))[:, :, None, :]
-    pair /= pair.sum((2, 3), keepdims=True)
-    pair *= (np.arange(1, size)[:, None] < length)[:, :, None, None]
-    return post[:, :, 1].T, logz, pair.sum((0, 1))
-
-
-def marginals(emit: np.ndarray, first: np.ndarray, length: np.ndarray, trans: np.ndarray, start: float) -> np.ndarray:
-    """p(toxic) of every word; windows of the same length run side by side."""
-    out = np.zeros(len(emit))
-    t, s = np.exp(trans), float(np.exp(start))
-    for size in np.unique(length):
-        rows = first[length == size]
-        idx = rows[:, None] + np.arange(size)
-        e = np.exp(np.clip(emit[idx], -40, 40)).T.copy()
-        r = np.empty((size, len(rows)))  # forward odds of tag 1
-        r[0] = e[0] * s
-        for i in range(1, size):
-            r[i] = e[i] * (t[0, 1] + r[i - 1] * t[1, 1]) / (t[0, 0] + r[i - 1] * t[1, 0])
-        b = np.ones(len(rows))  # backward odds
-        for i in range(size - 1, -1, -1):
-            odds = r[i] * b
-            x = e[i] * b
-            r[i] = odds / (1 + odds)
-            b = (t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x)
-        out[idx] = r.T
-    return out
+
+    def __init__(self, words: Words):
+        n = -(-words.count // BLOCK)
+        doc = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+        first = words.first[doc] + k * BLOCK
+        size = np.minimum(BLOCK, words.first[doc + 1] - first)
+        order = np.argsort(-size, kind="stable")
+        self.first, self.size, self.slot = first[order], size[order], np.argsort(order, kind="stable")
+        self.live = np.searchsorted(-self.size, -np.arange(1, BLOCK + 1), side="right")
+        self.blocks, self.at = n, np.cumsum(n) - n  # blocks of each document, and the first of them in document order
+        self.words, self.docs = int(words.first[-1]), len(n)
+        ends = words.first[1:][words.count > 0] - 1
+        self.inner = np.ones(self.words, bool)  # words with another one after them
+        self.inner[ends] = False
+        self.begin = words.first[:-1][words.count > 0]
+
+    def run(self, e: np.ndarray, trans: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(forward odds with emission, backward odds with emission, p(toxic)) of each word, and log Z of each document.
+
+        ``e`` holds exp of the emission weights of tag 1, ``trans`` and ``start`` exp of the transition weights.
+        """
+        (t00, t01), (t10, t11) = trans
+        m = len(self.first)
+        a, b, c, d = np.ones(m), np.zeros(m), np.zeros(m), np.ones(m)  # product of diag(1, e) T over the block
+        last = np.zeros((m, 4))  # the same without the last T
+        scale = np.zeros(m)
+        for t in range(BLOCK if m else 0):
+            n = self.live[t]
+            if not n:
+                break
+            x = e[self.first[:n] + t]
+            b[:n] *= x
+            d[:n] *= x
+            done = slice(self.live[t + 1] if t + 1 < BLOCK else 0, n)
+            last[done] = np.stack([a[done], b[done], c[done], d[done]], 1)
+            p, q, r, s = a[:n], b[:n], c[:n], d[:n]
+            a[:n], b[:n], c[:n], d[:n] = p * t00 + q * t10, p * t01 + q * t11, r * t00 + s * t10, r * t01 + s * t11
+            if t % 8 == 7:
+                total = a[:n] + b[:n] + c[:n] + d[:n]
+                for v in (a, b, c, d):
+                    v[:n] /= total
+                last[done] /= total[done, None]
+                scale[:n] += np.log(total)
+        enter, leave = np.ones((m, 2)), np.ones((m, 2))
+        logz = np.zeros(self.docs)
+        deep = np.argsort(-self.blocks, kind="stable")
+        counts = self.blocks[deep]
+        alive = np.searchsorted(-counts, -np.arange(1, (counts[0] if len(counts) else 0) + 1), side="right")
+        now = np.tile([1.0, start], (len(deep), 1))
+        for k, n in enumerate(alive.tolist()):
+            i = self.slot[self.at[deep[:n]] + k]
+            enter[i] = now[:n]
+            end = alive[k + 1] if k + 1 < len(alive) else 0
+            f = slice(end, n)
+            g = last[i[f]]
+            u, v = now[f, 0], now[f, 1]
+            logz[deep[f]] += np.log(u * (g[:, 0] + g[:, 1]) + v * (g[:, 2] + g[:, 3])) + scale[i[f]]
+            i = i[:end]
+            u, v = now[:end, 0], now[:end, 1]
+            nxt = np.stack([u * a[i] + v * c[i], u * b[i] + v * d[i]], 1)
+            total = nxt.sum(1)
+            now[:end] = nxt / total[:, None]
+            logz[deep[:end]] += np.log(total) + scale[i]
+        for k in range(len(alive) - 2, -1, -1):
+            n = alive[k + 1]
+            i, j = self.slot[self.at[deep[:n]] + k], self.slot[self.at[deep[:n]] + k + 1]
+            g, y = last[j], leave[j]
+            u, v = g[:, 0] * y[:, 0] + g[:, 1] * y[:, 1], g[:, 2] * y[:, 0] + g[:, 3] * y[:, 1]
+            back = np.stack([t00 * u + t01 * v, t10 * u + t11 * v], 1)
+            leave[i] = back / back.sum(1, keepdims=True)
+        fore, post = np.empty(self.words), np.empty(self.words)
+        r = enter[:, 1] / enter[:, 0]
+        for t in range(BLOCK if m else 0):
+            n = self.live[t]
+            if not n:
+                break
+            at = self.first[:n] + t
+            f = r[:n] * e[at]
+            fore[at] = f
+            r[:n] = (t01 + f * t11) / (t00 + f * t10)
+        back = np.empty(self.words)
+        b = leave[:, 1] / leave[:, 0]
+        for t in range(BLOCK - 1, -1, -1):
+            n = self.live[t] if m else 0
+            if not n:
+                continue
+            at = self.first[:n] + t
+            odds = fore[at] * b[:n]
+            post[at] = odds / (1 + odds)
+            x = b[:n] * e[at]
+            back[at] = x
+            b[:n] = (t10 + t11 * x) / (t00 + t01 * x)
+        return fore, back, post, logz
+
+    def pairs(self, fore: np.ndarray, back: np.ndarray, trans: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Sums over neighbouring words of ``weight`` (of the first) times the chances of the four pairs of tags."""
+        i = np.flatnonzero(self.inner)
+        f, x, w = fore[i], back[i + 1], weight[i]
+        four = np.stack([np.full(len(i), trans[0, 0]), trans[0, 1] * x, trans[1, 0] * f, trans[1, 1] * f * x])
+        return ((four / four.sum(0)) @ w).reshape(2, 2)
 
 
 @dataclasses.dataclass
@@ -116,8 +166,11 @@ class ToxicityModel:
     calibration: np.ndarray
 
     def tag(self, words: Words) -> np.ndarray:
-        emit = sum(self.weights[f] for f in features(words))
-        return marginals(emit + self.weights[BIAS], *windows(words), self.trans, self.start) if len(emit) else np.zeros(0)
+        """Marginal chance of every word to be toxic."""
+        if not len(words.start):
+            return np.zeros(0)
+        emit = sum(self.weights[f] for f in features(words)) + self.weights[BIAS]
+        return Chains(words).run(np.exp(np.clip(emit, -CLIP, CLIP)), np.exp(self.trans), float(np.exp(self.start)))[2]
 
     def aggregate(self, words: Words, p: np.ndarray) -> np.ndarray:
         n = len(words.count)
@@ -133,91 +186,75 @@ def _arrays(texts: list[str]) -> Words:
     return Words(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in raw]))).astype(np.int64), WORD, LOWER)
 
 
-def token_labels(words: Words, toxic: np.ndarray, feats: list[np.ndarray], least: int = 5) -> np.ndarray:
-    """1 for words of toxic documents that have one of the features that together explain these documents.
+def _first_guess(words: Words, toxic: np.ndarray, feats: list[np.ndarray]) -> np.ndarray:
+    """Weights to start from: log-odds of the documents that have a feature, damped by how few these are."""
+    w = np.zeros(1 << BITS)
+    base = toxic.sum() / (~toxic).sum()
+    for f in feats:
+        seen = np.unique(words.doc * np.int64(1 << BITS) + f)  # once per document
+        doc, bucket = seen >> BITS, seen & ((1 << BITS) - 1)
+        a = np.bincount(bucket[toxic[doc]], minlength=1 << BITS)
+        b = np.bincount(bucket[~toxic[doc]], minlength=1 << BITS) * base
+        w = np.maximum(w, (np.log(a + 0.5) - np.log(b + 0.5)) * (a / (a + 3.0)))
+    w[[BIAS, NO_FEATURE]] = 0
+    return w
+
 
-    A greedy cover: of the features that occur in at most one clean document for every fifty toxic ones, those in the
-    most toxic documents not yet explained are taken, with all that reach half of the best one, until the best one
-    explains fewer than ``least`` further documents.
+def train(sample: list[tuple[int, str]], share: float = 0.5, rounds: int = ROUNDS, rate: float = 0.3, ridge: float = RIDGE) -> ToxicityModel:
+    """Labels are of documents, so tags are hidden: a clean document has no toxic word, a toxic one at least one.
+
+    The likelihood of a clean label is the chance of the path without any toxic word, 1 / Z; that of a toxic label is the
+    rest, 1 - 1 / Z. Its exact gradient weighs the marginals of forward-backward by -1, and by 1 / (Z - 1).
     """
-    seen = [np.unique(words.doc * np.int64(1 << BITS) + f) for f in feats]  # once per document
-    pairs = [(x >> BITS, x & ((1 << BITS) - 1)) for x in seen]
-    fine = []
-    for doc, bucket in pairs:
-        a = np.bincount(bucket[toxic[doc]], minlength=1 << BITS)
-        b = np.bincount(bucket[~toxic[doc]], minlength=1 << BITS)
-        ok = (b <= 0.02 * a) & (a >= least)
-        ok[NO_FEATURE] = False
-        fine.append(ok)
-    pairs = [(doc[k], bucket[k]) for (doc, bucket), ok in zip(pairs, fine) for k in [toxic[doc] & ok[bucket]]]
-    open_ = toxic.copy()
-    chosen = [np.zeros(1 << BITS, bool) for _ in feats]
-    while True:
-        counts = [np.bincount(bucket[open_[doc]], minlength=1 << BITS) for doc, bucket in pairs]
-        best = max(int(x.max()) for x in counts)
-        if best < least:
-            break
-        for k, (doc, bucket) in enumerate(pairs):
-            chosen[k] |= counts[k] >= max(least, best / 2)
-            open_[doc[chosen[k][bucket]]] = False
-    marked = np.zeros(len(words.doc), bool)
-    for f, c in zip(feats, chosen):
-        marked |= c[f]
-    return marked & toxic[words.doc]
-
-
-def train(sample: list[tuple[int, str]], share: float = 0.5, rounds: int = 60, rate: float = 0.5) -> ToxicityModel:
     prior = min(max(share, 1e-3), 1 - 1e-3)
     logit = float(np.log(prior / (1 - prior)))
     model = ToxicityModel(np.zeros(1 << BITS), np.zeros((2, 2)), 0.0, np.array([0.0, 0.0, logit]))
     y_all = np.array([y for y, _ in sample], bool)
     if min(y_all.sum(), (~y_all).sum()) < 8:
         return model
-    half = np.zeros(len(sample), bool)
+    apart = np.zeros(len(sample), bool)
     for y in (False, True):
-        half[np.flatnonzero(y_all == y)[::3]] = True  # a third is for the calibration
-    words = _arrays([t for (_, t), h in zip(sample, half) if not h])
+        apart[np.flatnonzero(y_all == y)[::4]] = True  # a fourth is for the calibration
+    words = _arrays([t for (_, t), h in zip(sample, apart) if not h])
+    toxic = y_all[~apart]
     feats = features(words)
-    truth = token_labels(words, y_all[~half], feats)
-    first, length = windows(words)
-    full = np.flatnonzero(length == WINDOW)
-    hits = np.add.reduceat(truth.astype(int), first)[full] if len(first) else np.zeros(0)
-    chosen = np.concatenate([full[hits > 0], full[hits == 0][:: max(1, int((hits == 0).sum() // max(1, 3 * (hits > 0).sum())))]])
-    if len(chosen) < 4:
-        size = max(1, min(8, int(length.max(initial=1))))
-        first, length = windows(words, size)
-        chosen = np.flatnonzero(length == size)
-    size = int(length[chosen[0]]) if len(chosen) else 1
-    idx = first[chosen][:, None] + np.arange(size)
-    gold = truth[idx].astype(float)
-    cols = [np.full_like(idx, BIAS), *[f[idx] for f in feats]]
-    w, trans, start = np.zeros(1 << BITS), np.zeros((2, 2)), 0.0
-    g2, t2, s2 = np.full(1 << BITS, 1e-3), np.full((2, 2), 1e-3), 1e-3
-    active = np.zeros(1 << BITS, bool)
-    for c in cols:
-        active[c.ravel()] = True
-    active[NO_FEATURE] = False
-    emp = np.zeros((2, 2))
-    np.add.at(emp, (truth[idx][:, :-1].ravel().astype(int), truth[idx][:, 1:].ravel().astype(int)), 1)
-    lens = np.full(len(idx), size)
+    w = _first_guess(words, toxic, feats)
+    used = np.unique(np.concatenate([np.unique(f) for f in feats]))
+    small = np.searchsorted(used, np.arange(1 << BITS))  # buckets in use, numbered without gaps
+    cols = [small[f].astype(np.int32) for f in feats]
+    w, fixed = w[used], used == NO_FEATURE
+    chains = Chains(words)
+    bias, trans, start = -np.log(max(2.0, len(words.start) / max(1, len(toxic)))) - 2.0, np.zeros((2, 2)), 0.0
+    g2, b2, t2, s2 = np.full(len(w), 1e-2), 1e-2, np.full((2, 2), 1e-2), 1e-2
+    first = w.copy()
     for _ in range(rounds):
-        emit = sum(w[c] for c in cols)
-        p, _, pair = forward_backward(emit, lens, np.exp(trans), start)
-        err = (gold - p).ravel()
-        grad = sum(np.bincount(c.ravel(), weights=err, minlength=1 << BITS) for c in cols)
-        grad -= 0.05 * w * active
+        emit = sum(w[c] for c in cols) + bias
+        e = np.exp(np.clip(emit, -CLIP, CLIP))
+        fore, back, p, logz = chains.run(e, np.exp(trans), float(np.exp(start)))
+        push = np.where(toxic, 1 / np.expm1(np.clip(logz, 0.05, 50)), -1.0)
+        each = push[words.doc]
+        err = each * p
+        grad = sum(np.bincount(c, weights=err, minlength=len(w)) for c in cols) - ridge * (w - 0.5 * first)
+        grad[fixed] = 0
         g2 += grad**2
-        w += rate * grad / np.sqrt(g2) * active
-        tg = emp - pair - 0.05 * trans
-        t2 += tg**2
-        trans += 0.2 * tg / np.sqrt(t2)
-        sg = float((gold - p)[:, 0].sum()) - 0.05 * start
-        s2 += sg**2
-        start += 0.2 * sg / np.sqrt(s2)
-    model = ToxicityModel(w, trans, start, np.zeros(3))
-    rest = _arrays([t for (_, t), h in zip(sample, half) if h])
+        w += rate * grad / np.sqrt(g2)
+        step = float(err.sum()) - 0.05 * (bias + 6)
+        b2 += step**2
+        bias += rate * step / np.sqrt(b2)
+        step = chains.pairs(fore, back, np.exp(trans), each) - 0.5 * trans
+        step[0, 0] = 0  # the path without a toxic word weighs 1
+        t2 += step**2
+        trans += 0.1 * step / np.sqrt(t2)
+        step = float(err[chains.begin].sum()) - 0.5 * start
+        s2 += step**2
+        start += 0.1 * step / np.sqrt(s2)
+    weights = np.zeros(1 << BITS)
+    weights[used] = w
+    weights[BIAS] = bias
+    model = ToxicityModel(weights, trans, start, np.zeros(3))
+    rest = _arrays([t for (_, t), h in zip(sample, apart) if h])
     x = model.aggregate(rest, model.tag(rest))
-    y = y_all[half].astype(float)
+    y = y_all[apart].astype(float)
     cal = platt(x, y, ridge=0.01)
     cal[-1] += logit - float(np.log(y.sum() / (1 - y).sum()))
     model.calibration = cal
@@ -225,9 +262,7 @@ def train(sample: list[tuple[int, str]], share: float = 0.5, rounds: int = 60, r
 
 
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2) -> ToxicityModel:
-    counts = {r.toxic: r["count"] for r in labels.where(remainder("doc_id", mod) != held).groupBy("toxic").count().collect()}
-    total = counts.get(0, 0) + counts.get(1, 0)
-    return train(labelled_sample(docs, labels, "toxic", mod, held, PER_CLASS, SAMPLE_CHARS), counts.get(1, 0) / total if total else 0.5)
+    return train(*labelled_sample(docs, labels, "toxic", mod, held, PER_CLASS, SAMPLE_CHARS))
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("from_byte", T.LongType(), False), T.StructField("to_byte", T.LongType(), False)]))
@@ -258,4 +293,4 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "t
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = score(docs, fit(docs, labels), ["doc_id"])
-    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
