@@ -22,10 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none, as in tests."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where the session names none, a temporary folder serves a local master, as in tests; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tickloom-"))
     return sc.getCheckpointDir()
 
 
@@ -45,6 +51,19 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(F.xxhash64(key, F.lit(7)))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def boxed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Each row as the struct ``row`` beside the given columns, so that no name of a user's column meets a helper's."""
+    return docs.select(F.struct("*").alias("row"), *[F.col(f"`{c}`") for c in columns])
+
+
 def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column (null: empty) and the n + 1 offsets into them."""
     col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")
@@ -65,13 +84,15 @@ def chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
-def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType, kernel: Callable, name: str = "__text", limit: int = CHUNK_BYTES) -> DataFrame:
+def map_text(docs: DataFrame, text: str, keep: list[str], outputs: T.StructType, kernel: Callable, limit: int = CHUNK_BYTES) -> DataFrame:
     """``keep`` columns of ``docs`` with the columns of ``kernel(data, offsets) -> list of arrays`` beside them.
 
-    The kernel sees flat bytes of whole texts. Of a kept column that has the name of an output, the output stays.
+    The kernel sees flat bytes of whole texts. Of a kept column that has the name of an output (in any case), the output
+    stays.
     """
-    kept = [c for c in keep if c not in outputs.names]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(name))
+    made_names = {c.lower() for c in outputs.names}
+    kept = [c for c in keep if c.lower() not in made_names]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(unused("text", kept)))
     schema = T.StructType([*[source.schema[c] for c in kept], *outputs.fields])
     arrow = to_arrow_schema(schema, timestamp_utc=True)
 
@@ -170,21 +191,36 @@ def remainder(col: str, mod: int):
     return F.crc32(F.col(col).cast("string")) % mod
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, per_class: int, max_chars: int) -> list[tuple[int, str]]:
-    """(label, text) of at most ``per_class`` training rows of each class, those of smallest id hash.
+def held_out(col: str, mod: int, held: int):
+    """Whether a row is held out of training; false for rows without an id, which have no label either."""
+    return F.coalesce(remainder(col, mod) == held, F.lit(False))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, per_class: int, max_chars: int) -> tuple[list[tuple[int, str]], float]:
+    """(label, text) of at most ``per_class`` training rows of each class, and the share of label 1 among training rows.
 
-    A text longer than ``max_chars`` is left out of the sample, so the driver gets 2 * per_class * max_chars characters at
-    most. Held-out rows (crc32(doc_id) mod ``mod`` = ``held``) never take part.
+    Of the rows that have both a label and a text of at most ``max_chars`` characters those of smallest id hash are taken,
+    so the driver gets 2 * per_class * max_chars characters at most. Both tables are cut by the hash before they meet; where
+    too few labelled rows have a text, the cut is raised until there are enough or all took part. Held-out rows
+    (crc32(doc_id) mod ``mod`` = ``held``) and rows without an id never take part; rows that repeat id, label and text
+    count once. Without labels the share is 0.5.
     """
-    base = labels.select("doc_id", F.col(label).alias("y")).where(F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != held))
-    picked = [base.where(F.col("y") == y).dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class) for y in (0, 1)]
-    small = picked[0].unionByName(picked[1])
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    found = texts.join(F.broadcast(small), "doc_id").select("y", "text", F.xxhash64("doc_id").alias("h")).collect()
-    out: list[tuple[int, str]] = []
-    for y in (0, 1):
-        out += [(y, r.text) for r in sorted((r for r in found if r.y == y), key=lambda r: (r.h, r.text))[:per_class]]
-    return out
+    whole = 1 << 40
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(whole))
+    base = labels.select("doc_id", F.col(label).cast("int").alias("y"), place.alias("h")).where(F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != held) & F.col("y").isin(0, 1))
+    texts = docs.select("doc_id", "text", place.alias("h")).where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    counts = {r.y: r["count"] for r in base.groupBy("y").count().collect()}
+    cut = {y: whole * 2 * per_class // n for y, n in counts.items()}
+    found: dict[int, list[tuple[int, str]]] = {}
+    while cut:
+        near = base.where(F.coalesce(*[F.when((F.col("y") == y) & (F.col("h") < c), F.lit(True)) for y, c in cut.items()], F.lit(False))).dropDuplicates()
+        pairs = texts.where(F.col("h") < max(cut.values())).drop("h").join(near, "doc_id").dropDuplicates(["y", "doc_id", "text"])
+        first = [pairs.where(F.col("y") == y).orderBy("h", "text").limit(per_class) for y in cut]
+        for y, part in zip(cut, first):
+            found[y] = sorted((r.h, r.text) for r in part.collect())
+        cut = {y: 16 * c for y, c in cut.items() if len(found[y]) < per_class and c < whole}
+    share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
+    return [(y, text) for y in (0, 1) for _, text in found.get(y, [])], share
 
 
 def platt(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-3) -> np.ndarray:

@@ -2,12 +2,14 @@
 
 Two dictionaries are trained from labelled texts. A document is cut into blocks of ``BLOCK`` bytes; every block is
 compressed with both. (Bytes with the bad dictionary - bytes with the good one) / length of the text, and the same by the
-sum of both, are the normalised differences; the logarithm of what both save stands beside them. Labelled rows that the dictionaries have not seen turn it into a probability (Platt scaling), weighted so
-that both classes count as often as they occur among the labels.
+sum of both, are the normalised differences; the logarithm of what both save stands beside them. Labelled rows that the
+dictionaries have not seen turn it into a probability (Platt scaling), weighted so that both classes count as often as
+they occur among the labels.
 
 The fit takes a bounded sample (``PER_CLASS`` rows of each class, texts of at most ``SAMPLE_CHARS`` characters, smallest
 id hash first). Null and empty texts have the differences 0 and so the score of the calibration's prior. Without rows of
-both classes every score is the share of label 1 (0.5 without labels).
+both classes every score is the share of label 1 (0.5 without labels). Rows without an id are scored and not held out;
+equal rows stay equal rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import dataclasses
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import labelled_sample, map_text, platt, remainder, sigmoid
+from .common import held_out, labelled_sample, map_text, platt, sigmoid
 
 PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, BLOCK, LEVEL = 2000, 12_000, 112 << 10, 1024, 3
 THRESHOLD = 0.3
@@ -99,10 +101,7 @@ def train(sample: list[tuple[int, str]], share: float = 0.5) -> QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0) -> QualityModel:
-    counts = {r.quality: r["count"] for r in labels.where(remainder("doc_id", mod) != held).groupBy("quality").count().collect()}
-    total = counts.get(0, 0) + counts.get(1, 0)
-    sample = labelled_sample(docs, labels, "quality", mod, held, PER_CLASS, SAMPLE_CHARS)
-    return train(sample, counts.get(1, 0) / total if total else 0.5)
+    return train(*labelled_sample(docs, labels, "quality", mod, held, PER_CLASS, SAMPLE_CHARS))
 
 
 SCORES = T.StructType([T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)])
@@ -119,4 +118,4 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text: str = "te
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = score(docs, fit(docs, labels), ["doc_id"])
-    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
