@@ -69,13 +69,13 @@ def decontam_brute(docs, items):
         w = dwords(t)
         k = min(13, len(w))
         for j in range(len(w) - k + 1 if w else 0):
-            windows.setdefault(tuple(w[j : j + k]), set()).add(str(i))
+            windows.setdefault(tuple(w[j : j + k]), set()).update([] if i is None else [str(i)])
     out = {}
     for d, t in docs:
         w, hit, found = dwords(t), set(), set()
         for k in {len(x) for x in windows}:
             for j in range(len(w) - k + 1):
-                if s := windows.get(tuple(w[j : j + k])):
+                if (s := windows.get(tuple(w[j : j + k]))) is not None:
                     hit |= set(range(j, j + k))
                     found |= s
         out[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w))
@@ -85,14 +85,14 @@ def decontam_brute(docs, items):
 @pytest.mark.parametrize("limit", [1 << 20, 400])
 def test_decontamination(spark, limit):
     rnd = random.Random(5)
-    items = [(i, prose(rnd, rnd.choice([3, 12, 13, 20, 40]))) for i in range(12)] + [(50, None), (51, ""), (52, "!!! ..."), (53, "Élan ünd 日本 x9"), (3, "again one two three")]
+    items = [(i, prose(rnd, rnd.choice([3, 12, 13, 20, 40]))) for i in range(12)] + [(50, None), (51, ""), (52, "!!! ..."), (53, "Élan ünd 日本 x9"), (3, "again one two three"), (None, "alpha beta gamma"), (None, prose(rnd, 30))]
     texts = [None, "", "...", "x " * 3000]
     for k in range(40):
         t = prose(rnd, rnd.randrange(1, 200))
         if k % 2:
             t += " " + rnd.choice(items[:12])[1].upper() + "!" + prose(rnd, rnd.randrange(300))
         texts.append(t)
-    texts += [texts[5], "élan ÜND 日本 x9", "Élan ünd 日本 x9"]
+    texts += [texts[5], "élan ÜND 日本 x9", "Élan ünd 日本 x9", "alpha Beta gamma", "x " + items[-1][1]]
     docs = clashing(frame(spark, texts))
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: tuple(r)[1:] for r in decontam.digest(decontam.find_hits(docs, bench, ["doc_id"], broadcast_bytes=limit)).collect()}
