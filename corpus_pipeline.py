@@ -2,6 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``.
 Rows without text pass the stages that have nothing to say about them; the last stage gives them begin and end ids only.
+Further columns of ``documents`` go through all stages but the last as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -9,33 +10,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import decontam, neardup, piece, quality, secretscan
-from tickloom.llm.common import stored, table
+from tickloom.llm.common import boxed, stored, table
 from tickloom.llm.queries import piece_model
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, fitted on the labelled ones, does not reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, docs.columns).where("predicted = 1").select(*docs.columns)
+    return quality.score(boxed(docs, "text"), model, ["row"]).where("predicted = 1").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of every group of near duplicates, and all that are in no group."""
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    rows = boxed(docs, "doc_id")
+    return rows.join(gone.hint("merge"), rows["doc_id"] == gone["gone"], "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
-    hits = decontam.find_hits(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return decontam.judged(hits).where(~F.col("contaminated")).select(*docs.columns)
+    hits = decontam.find_hits(boxed(docs, "text"), table(spark, sf_dir, "benchmark"), ["row"])
+    return decontam.judged(hits).where(~F.col("contaminated")).select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked and the length counted anew where one was."""
-    clean = secretscan.redact(docs, secretscan.train(docs)).withColumnRenamed("n_chars", "__n")
-    n = F.when(F.contains("text", F.lit(secretscan.MASK)), F.length("text").cast("long")).otherwise(F.col("__n"))
-    return clean.withColumn("n_chars", n).select(*docs.columns)
+    clean = boxed(secretscan.redact(docs, secretscan.train(docs)), "text", "n_chars")
+    n = F.when(F.contains("text", F.lit(secretscan.MASK)), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.select(F.col("row").withField("n_chars", n).alias("row")).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
