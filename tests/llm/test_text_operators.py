@@ -149,6 +149,81 @@ def test_markov_spans(spark):
     assert all(got[60 + len(odd) + i] == "" for i in range(len(plain)))
 
 
+def markov_brute(texts, ratios):
+    """All spans of each text by plain code, from the ratios of the trained models."""
+    code = {c: i + 1 for i, c in enumerate(secretscan.SYMBOLS)}
+    ratios = [float(f"{x:.5f}") for x in ratios]
+    out = []
+    for t in texts:
+        t = t or ""
+        base = [(int(a), "assign access hex".split().index(k), int(b), k) for k, a, b in (x.split(":") for x in base_spans(t).split(",") if x)]
+        more = []
+        for m in re.finditer("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", t):
+            c = [code.get(x, 0) for x in m[0]]
+            odd = sum(ratios[a * secretscan.SIDE + b] for a, b in zip(c, c[1:])) / len(c)
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and odd > secretscan.LIMIT and not any(a < m.end() and m.start() < e for a, _, e, _ in base):
+                more.append((m.start(), 3, m.end(), "markov"))
+        out.append(sorted(base + more))
+    return out
+
+
+def models_brute(texts):
+    """The trained ratios by plain counting, where all documents are ordinary ones."""
+    import math
+
+    code = {c: i + 1 for i, c in enumerate(secretscan.SYMBOLS)}
+    random_, ordinary = [], []
+    for t in texts:
+        t = t or ""
+        random_ += [m[2] for m in ASSIGN.finditer(t) if len(m[2]) >= 12] + re.findall("AKIA[A-Z0-9]{16,}", t) + re.findall("(?<![0-9a-f])[0-9a-f]{24,}", t)
+        ordinary += re.findall("[A-Za-z0-9_]{4,}", re.sub("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", " ", ASSIGN.sub(" ", t)))
+    logs, side, n = [], secretscan.SIDE, len(secretscan.SYMBOLS)
+    for words, uniform, weight in ((random_ + [w.upper() for w in random_], 0.3, 0.0), (ordinary, 0.02, 20.0)):
+        counts = {}
+        for w in words:
+            for a, b in zip(w, w[1:]):
+                a, b = code.get(a, 0), code.get(b, 0)
+                counts[a, b] = counts.get((a, b), 0) + (b > 0)
+        total = sum(v for (a, _), v in counts.items() if a)
+        single = {b: (sum(counts.get((a, b), 0) for a in range(1, side)) + 1.0) / (total + n) for b in range(side)}
+        rows = {a: sum(counts.get((a, b), 0) for b in range(side)) + weight for a in range(side)}
+        logs.append([math.log((1 - uniform) * ((counts.get((a, b), 0) + weight * single[b]) / rows[a] if rows[a] else 1 / n) + uniform / n) if a and b else 0.0 for a in range(side) for b in range(side)])
+    return [x - y for x, y in zip(*logs)]
+
+
+def test_markov_spans_equal_plain_code(spark):
+    rnd = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    texts = [None, "", *[" ".join(rnd.choice([rnd.choice(WORDS), "token=", "token: abc", "".join(rnd.choices(letters, k=rnd.randrange(8, 40))), rnd.randbytes(13).hex(), "password=" + "".join(rnd.choices(letters, k=30)), "é😀"]) for _ in range(rnd.randrange(30))) for _ in range(300)]]
+    docs = clashing(frame(spark, texts))
+    ratios = secretscan.train(docs)
+    assert max(abs(a - b) for a, b in zip(ratios, models_brute(texts), strict=True)) < 1e-9
+    want = markov_brute(texts, ratios)
+    assert sum(k == 3 for w in want for _, k, _, _ in w) > 30
+    got = {r.doc_id: r.spans for r in secretscan.digest(docs).collect()}
+    assert got == {i: ",".join(f"{k}:{a}:{b}" for a, _, b, k in w) for i, w in enumerate(want)}
+    clean = {r.doc_id: r.text for r in secretscan.redact(docs, ratios).collect()}
+    for i, (t, w) in enumerate(zip(texts, want)):
+        out, end = "", -1
+        for a, _, b, _ in w:
+            if a > end:
+                out += t[max(end, 0) : a] + secretscan.MASK
+            end = max(end, b)
+        assert clean[i] == (t if not w else out + t[end:])
+
+
+def test_very_many_secrets_in_one_text(spark):
+    import time
+
+    rnd = random.Random(14)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = " ".join("token=abcdef" if k % 2 else "a7" + "".join(rnd.choices(letters, k=22)) for k in range(100_000))
+    ratios = [1.0] * secretscan.SIDE**2
+    before = time.monotonic()
+    clean = secretscan.redact(frame(spark, [text]), ratios).first().text
+    assert clean == " ".join([secretscan.MASK] * 100_000) and time.monotonic() - before < 60
+
+
 # --- trained classifiers ----------------------------------------------------------------------------------------------
 
 

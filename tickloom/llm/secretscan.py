@@ -7,7 +7,8 @@ log-likelihood ratio of two first-order character models exceeds ``LIMIT``. The
 values of the base patterns in all documents, also in upper case, against the words of ``ORDINARY_DOCS`` documents of small
 id hash; each is mixed with equal chances of all symbols (a larger part of the random one). Signs say nothing.
 
-Positions are code points, end exclusive. Null texts are empty; empty texts have no spans; equal rows stay equal rows.
+Positions are code points, end exclusive. Null texts are empty; empty texts have no spans; equal rows stay equal rows; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import boxed
+
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
@@ -24,43 +27,65 @@ KINDS = ("assign", "access", "hex", "markov")
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 SIDE = len(SYMBOLS) + 1
 ORDINARY_DOCS, LIMIT, GROUP = 2000, 0.5, 128
+NOWHERE = 2**31 - 1
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 MASK = "[SECRET]"
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once however often it occurs, inside of lambdas too."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _scan(values: Column, fold, zero: Column) -> Column:
+    """For each element the fold of all before it, from ``zero``; in groups, so that the work stays near linear."""
+
+    def grouped(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / GROUP).cast("int")), lambda g: F.slice(v, g * GROUP + 1, F.lit(GROUP)))
+
+    def folded(groups: Column) -> Column:
+        return _let(F.transform(groups, lambda g: F.aggregate(g, zero, fold)), lambda sums: F.flatten(F.transform(groups, lambda g, k: _let(
+            F.aggregate(F.slice(sums, F.lit(1), k), zero, fold), lambda base: F.transform(g, lambda x, i: F.aggregate(F.slice(g, F.lit(1), i), base, fold))))))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, _let(grouped(v), folded)).otherwise(F.array().cast("array<int>")))
+
+
+def _sum(a: Column, x: Column) -> Column:
+    return a + x
+
+
+def _larger(a: Column, x: Column) -> Column:
+    return F.greatest(a, x)
 
 
-def _before(lengths: Column) -> Column:
-    """For each element the sum of all before it, in groups so that the work stays near linear."""
-    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / GROUP).cast("int")), lambda g: F.slice(lengths, g * GROUP + 1, F.lit(GROUP)))
-    sums = F.transform(groups, _total)
-    starts = F.transform(groups, lambda g, k: F.struct(g.alias("g"), _total(F.slice(sums, F.lit(1), k)).alias("base")))
-    return F.flatten(F.transform(starts, lambda s: F.transform(s["g"], lambda x, i: s["base"] + _total(F.slice(s["g"], F.lit(1), i)))))
+def _smaller(a: Column, x: Column) -> Column:
+    return F.least(a, x)
 
 
 def _spans(text: str, found: str, pattern: str, kind: int, keep: Column | None = None) -> Column:
     """Spans of the matches ``found`` of ``pattern``: texts between matches and matches themselves give the positions."""
-    between = F.slice(F.split(F.col(text), pattern, -1), F.lit(1), F.size(found))
-    lengths = F.zip_with(between, F.col(found), lambda b, m: F.length(b) + F.length(m))
-    made = F.zip_with(_before(lengths), F.arrays_zip(F.transform(between, F.length).alias("b"), F.transform(F.col(found), F.length).alias("m")),
-                      lambda at, x: F.struct((at + x["b"]).alias("start"), F.lit(kind).alias("kind"), (at + x["b"] + x["m"]).alias("end")))
+    between = F.transform(F.slice(F.split(F.col(text), pattern, -1), F.lit(1), F.size(found)), F.length)
+
+    def made(sizes: Column) -> Column:
+        at = _scan(F.transform(sizes, lambda x: x["b"] + x["m"]), _sum, F.lit(0))
+        return F.zip_with(at, sizes, lambda a, x: F.struct((a + x["b"]).alias("start"), F.lit(kind).alias("kind"), (a + x["b"] + x["m"]).alias("end")))
+
+    spans = _let(F.arrays_zip(between.alias("b"), F.transform(found, F.length).alias("m")), made)
     if keep is not None:
-        made = F.transform(F.filter(F.arrays_zip(made.alias("s"), keep.alias("v")), lambda x: F.length(x["v"]) >= 6), lambda x: x["s"])
-    return F.when(F.size(found) > 0, made.cast(SPAN)).otherwise(F.array().cast(SPAN))
+        spans = F.transform(F.filter(F.arrays_zip(spans.alias("s"), keep.alias("v")), lambda x: F.length(x["v"]) >= 6), lambda x: x["s"])
+    return F.when(F.size(found) > 0, spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__text`` (never null) and ``__base``, the base spans sorted by start and kind."""
-    t = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    """(row, text, base): each row of ``docs`` as a struct, its text (never null), and its base spans sorted by start and kind."""
+    t = boxed(docs, text).select("row", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     none = F.array().cast("array<string>")
-    t = t.withColumn("__assign", F.regexp_extract_all("__text", F.lit(ASSIGN), F.lit(0)))
-    t = t.withColumn("__values", F.when(F.size("__assign") > 0, F.regexp_extract_all("__text", F.lit(ASSIGN), F.lit(2))).otherwise(none))
-    t = t.withColumn("__access", F.when(F.contains("__text", F.lit("AKIA")), F.regexp_extract_all("__text", F.lit(ACCESS), F.lit(0))).otherwise(none))
-    t = t.withColumn("__hex", F.regexp_extract_all("__text", F.lit(HEX), F.lit(0)))
-    parts = [_spans("__text", "__assign", ASSIGN, 0, F.col("__values")), _spans("__text", "__access", ACCESS, 1), _spans("__text", "__hex", HEX, 2)]
-    return t.withColumn("__base", F.array_sort(F.concat(*parts)))
+    t = t.withColumn("assign", F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(0)))
+    t = t.withColumn("values", F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))).otherwise(none))
+    t = t.withColumn("access", F.when(F.contains("text", F.lit("AKIA")), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0))).otherwise(none))
+    t = t.withColumn("hex", F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
+    parts = [_spans("text", "assign", ASSIGN, 0, F.col("values")), _spans("text", "access", ACCESS, 1), _spans("text", "hex", HEX, 2)]
+    return t.select("row", "text", F.array_sort(F.concat(*parts)).alias("base"))
 
 
 def _pairs(words: DataFrame, word: str) -> DataFrame:
@@ -95,9 +120,9 @@ def train(docs: DataFrame, text: str = "text", ordinary_docs: int = ORDINARY_DOC
 
 
 def find(docs: DataFrame, ratios: list[float], text: str = "text") -> DataFrame:
-    """``docs`` with ``__text``, ``__base`` and ``__spans``: base and Markov spans sorted by start and kind."""
+    """(row, text, base, spans): ``base_spans`` with base and Markov spans together, sorted by start and kind."""
     t = base_spans(docs, text)
-    t = t.withColumn("__run", F.regexp_extract_all("__text", F.lit(RUN), F.lit(0)))
+    t = t.withColumn("run", F.regexp_extract_all("text", F.lit(RUN), F.lit(0)))
     table = F.split(F.lit(",".join(f"{x:.5f}" for x in ratios)), ",").cast("array<double>")
 
     def odd(word: Column) -> Column:
@@ -105,34 +130,41 @@ def find(docs: DataFrame, ratios: list[float], text: str = "text") -> DataFrame:
         pairs = F.zip_with(codes, F.slice(codes, F.lit(2), F.greatest(F.length(word) - 1, F.lit(0))), lambda a, b: F.when(b.isNull(), F.lit(0.0)).otherwise(F.get(table, a * SIDE + b)))
         return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / F.length(word)
 
-    spans = F.filter(
-        F.arrays_zip(_spans("__text", "__run", RUN, 3).alias("s"), F.col("__run").alias("w")),
-        lambda x: x["w"].rlike("[0-9]") & x["w"].rlike("[A-Za-z]") & ~F.exists("__base", lambda b: (b["start"] < x["s"]["end"]) & (x["s"]["start"] < b["end"])) & (odd(x["w"]) > LIMIT),
+    judged = F.filter(
+        F.arrays_zip(_spans("text", "run", RUN, 3).alias("s"), F.col("run").alias("w")),
+        lambda x: x["w"].rlike("[0-9]") & x["w"].rlike("[A-Za-z]") & (odd(x["w"]) > LIMIT),
     )
-    more = F.when(F.size("__run") > 0, F.transform(spans, lambda x: x["s"]).cast(SPAN)).otherwise(F.array().cast(SPAN))
-    return t.withColumn("__more", more).withColumn("__spans", F.array_sort(F.concat("__base", "__more")))
-
-
-def named(spans: str) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    t = t.withColumn("odd", F.when(F.size("run") > 0, F.transform(judged, lambda x: x["s"]).cast(SPAN)).otherwise(F.array().cast(SPAN)))
+    # by start, base spans before runs: a run is free where no base span before it reaches into it and the next one starts behind it
+    t = t.withColumn("all", F.array_sort(F.concat("base", "odd")))
+    ends = F.transform("all", lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0))
+    starts = F.reverse(F.transform("all", lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(NOWHERE)))
+    t = t.withColumn("reach", _scan(ends, _larger, F.lit(0)))
+    t = t.withColumn("next", F.reverse(_scan(starts, _smaller, F.lit(NOWHERE))))
+    free = F.filter(F.arrays_zip(F.col("all").alias("s"), F.col("reach").alias("r"), F.col("next").alias("n")), lambda x: (x["s"]["kind"] < 3) | ((x["r"] <= x["s"]["start"]) & (x["n"] >= x["s"]["end"])))
+    spans = F.when(F.size("odd") > 0, F.transform(free, lambda x: x["s"]).cast(SPAN)).otherwise(F.col("base"))
+    return t.select("row", "text", "base", spans.alias("spans"))
 
 
 def redact(docs: DataFrame, ratios: list[float], text: str = "text") -> DataFrame:
-    """``docs`` with every span, overlapping ones as one, replaced by ``MASK``."""
+    """``docs`` with every span, overlapping or touching ones as one, replaced by ``MASK``."""
     found = find(docs, ratios, text)
-    merged = F.aggregate("__spans", F.array().cast("array<struct<start:int,end:int>>"), lambda acc, s: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))),
-    ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
-    found = found.withColumn("__merged", merged)
-    last = F.element_at("__merged", -1)["end"]
-    parts = F.transform("__merged", lambda s, i: F.concat(F.substring(F.col("__text"), F.when(i > 0, F.get("__merged", i - 1)["end"]).otherwise(0) + 1, s["start"] - F.when(i > 0, F.get("__merged", i - 1)["end"]).otherwise(0)), F.lit(MASK)))
-    clean = F.when(F.size("__spans") == 0, F.col(f"`{text}`")).otherwise(F.concat(F.array_join(parts, ""), F.substring(F.col("__text"), last + 1, F.length("__text"))))
-    return found.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    found = found.withColumn("chars", F.when(F.size("spans") > 0, F.split("text", "")))
+    # for each span how far those before it reach; text between is kept
+    found = found.withColumn("reach", _scan(F.transform("spans", lambda s: s["end"]), _larger, F.lit(-1)))
+    kept = lambda a, b: F.array_join(F.slice("chars", F.greatest(a, F.lit(0)) + 1, F.greatest(b - F.greatest(a, F.lit(0)), F.lit(0))), "")
+    parts = F.zip_with("spans", "reach", lambda s, r: F.when(s["start"] > r, F.concat(kept(r, s["start"]), F.lit(MASK))).otherwise(F.lit("")))
+    last = F.array_max(F.transform("spans", lambda s: s["end"]))
+    clean = F.when(F.size("spans") == 0, F.col(f"row.`{text}`")).otherwise(F.concat(F.array_join(parts, ""), kept(last, F.length("text"))))
+    return found.select(*[clean.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def named(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", "text")
     found = find(slim, train(slim))
-    count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(named("__base"), 256).alias("base_sha256"), named("__spans").alias("spans"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select("row.doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(named("base"), 256).alias("base_sha256"), named("spans").alias("spans"))
