@@ -366,20 +366,74 @@ def test_language(spark):
     assert langid.digest(docs.where("false")).count() == 0
 
 
-def test_phrases_equal_plain_parsing():
-    import numpy as np
-
-    rnd = random.Random(4)
-    train, text = [rnd.randrange(2, 5) for _ in range(300)], [rnd.randrange(1, 6) for _ in range(400)]
-    model = langid.LanguageModel(["x"], np.zeros(1, np.int32), [__import__("zlib").compress(langid.suffix_automaton(train, langid.ALPHABET).tobytes())], [300])
-    s = "".join(map(chr, train))
+def plain_phrases(train, text):
+    s = "".join(train)
     n, i = 0, 0
     while i < len(text):
         k = 1
-        while i + k < len(text) and "".join(map(chr, text[i : i + k + 1])) in s:
+        while i + k < len(text) and text[i : i + k + 1] in s:
             k += 1
         n, i = n + 1, i + k
-    assert model.phrases(np.array(text), np.zeros(400, np.int64), 1)[0, 0] == n
+    return n
+
+
+@pytest.mark.parametrize("alphabet", [4, 900])
+def test_phrases_equal_plain_parsing(alphabet, monkeypatch):
+    rnd = random.Random(4)
+    letters = [chr(0x4E00 + k) for k in range(alphabet)]
+    train = "".join(rnd.choices(letters, k=3000))
+    texts = ["".join(rnd.choices([*letters, "ж"], k=k)) for k in (0, 1, 2, 7, 8, 9, 100, 3000)]
+    texts += [train[200:1900], (train[5:60] + "ж") * 9, train[:9] * 70, "".join(train[a : a + rnd.randrange(1, 40)] for a in rnd.choices(range(2900), k=90))]
+    model = langid.train({"x": [train]})
+    assert model.points.tolist() == sorted(map(ord, set(train)))
+    for block, head in ((8, 3), (8, 8), (64, 16), (768, 192)):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        monkeypatch.setattr(langid, "HEAD", head)
+        import numpy as np
+
+        points = np.array([ord(c) for t in texts for c in t])
+        got = model.phrases(model.automata()[0][points], np.array([len(t) for t in texts]))[:, 0].tolist()
+        assert got == [plain_phrases(train + "\0", t) for t in texts]
+
+
+def test_language_choice_equals_plain_code():
+    import math
+
+    rnd = random.Random(15)
+    words = {"aa": ["kalo", "mera", "tuni"], "bb": ["tunk", "merk", "kalk"]}
+    make = lambda lang, n: " ".join(rnd.choice(words[lang]) for _ in range(n))
+    sample = {k: [make(k, 40) for _ in range(5)] for k in words}
+    model = langid.train(sample, 700)
+    texts = [make(rnd.choice("ab") * 2, rnd.randrange(1, 30)) + rnd.choice(["", " ж", "!!", " mera"]) for _ in range(60)]
+    got, score = model.predict([t.encode() for t in texts])
+    for t, lang, s in zip(texts, got, score):
+        fold = re.sub(r"[\W\d_]+", "\0", t.lower())
+        rates = {}
+        for k in sorted(sample):
+            joined, used = "", 0
+            for x in sample[k]:
+                part = x.replace(" ", "\0") + "\0"
+                if used and used + len(part) > 700:
+                    break
+                joined, used = joined + part, used + len(part)
+            rates[k] = plain_phrases(joined, fold) * math.log2(len(joined)) / len(fold)
+        best = min(rates, key=lambda k: (rates[k], k))
+        assert lang == best and abs(s - 1 / sum(math.exp(-8 * (r - rates[best])) for r in rates.values())) < 1e-9
+
+
+def test_large_scripts(spark):
+    rnd = random.Random(16)
+    scripts = {f"l{k}": [chr(0x61 + (3 * k + j) % 26) for j in range(12)] for k in range(5)}
+    scripts |= {"zh": [chr(0x4E00 + j) for j in range(800)], "ja": [chr(0x4E00 + 400 + j) for j in range(800)], "emo": [chr(0x10400 + j) for j in range(40)]}
+    rows = []
+    for i in range(960):
+        lang = sorted(scripts)[i % len(scripts)]
+        vocabulary = random.Random(lang).choices(["".join(random.Random(f"{lang}{w}").choices(scripts[lang], k=2 + w % 3)) for w in range(400)], k=400)
+        rows.append((i, " ".join(rnd.choice(vocabulary) for _ in range(40)), lang, "s", 0))
+    got = {r.doc_id: r for r in langid.digest(spark.createDataFrame(rows, DOCS)).collect()}
+    for lang in scripts:
+        held = [i for i, _, k, _, _ in rows if k == lang and got[i].held_out]
+        assert len(held) > 20 and sum(got[i].lang_pred == lang for i in held) >= 0.95 * len(held), lang
 
 
 # --- near duplicates --------------------------------------------------------------------------------------------------

@@ -3,30 +3,38 @@
 A suffix automaton is built over labelled text of every language. A document is parsed against each automaton into
 phrases, each the longest match that starts where the last one ended; the language that needs the fewest phrases,
 normalised by the text's length and the size of the automaton's text (phrases * log2(size) / letters), wins. Ties go to
-the language that sorts first.
+the language that sorts first. Every letter that occurs in any sample is a symbol of its own; one that a language's sample
+lacks is a phrase of its own there. Letters are folded to lower case; a run of other characters reads as one break.
 
-All blocks of up to ``BLOCK`` characters of a batch are parsed side by side: one numpy step takes the next character of
-every block through a completed transition table. Letters are folded to lower case; a run of other characters reads as
-one break.
+Transitions are stored sparsely (about 1 MB for each language, at every size of alphabet): the edges of all states are
+laid into one array, each state's at an offset where they meet free places. All blocks of ``BLOCK`` symbols of a batch are
+parsed side by side, one numpy step for the next symbol of each. The parse that comes from the block before goes on until it
+begins a phrase where the block's own parse began one; from there both are the same, so the count is that of one uncut
+parse.
 
 The fit takes a bounded sample: the ``PER_LANG`` labelled texts of smallest id hash per language, whole texts until
 ``SAMPLE_CHARS`` characters. Null texts and texts without a letter are ``und`` with score 0; without any labelled text
-every text is ``und``.
+every text is ``und``. Rows without an id are predicted and not held out; equal rows stay equal rows; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import functools
+import pickle
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import map_text, remainder
+from .common import held_out, map_text, remainder
 
-PER_LANG, SAMPLE_CHARS, ALPHABET, BLOCK = 40, 24_000, 64, 512
-FLAG = np.int32(1 << 30)
+PER_LANG, SAMPLE_CHARS = 40, 24_000
+#: Symbols that are parsed side by side with others, and of these how many at the front are known to a parse from before.
+BLOCK, HEAD = 768, 192
+#: Bytes of text in a batch: many blocks share each numpy step.
+BATCH_BYTES = 2 << 20
 
 
 @functools.cache
@@ -57,12 +65,8 @@ def _letters(points: np.ndarray) -> np.ndarray:
     return folded[stay]
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Completed transitions of the suffix automaton: state * alphabet + symbol -> state, with FLAG where a phrase starts.
-
-    A missing transition ends the phrase, and the symbol starts the next one from the root. An unknown symbol is a phrase
-    of its own, after which the root is where the next one starts.
-    """
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton: for each state the next ones by symbol; state 0 is the root."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -88,93 +92,167 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    root = np.array([nxt[0].get(c, 0) for c in range(alphabet)], np.int32) | FLAG
-    table = np.tile(root, (len(nxt), 1))
-    for s, edges in enumerate(nxt[1:], 1):
-        for c, to in edges.items():
-            table[s, c] = to
-    return table.ravel()
+    return nxt
+
+
+class Automaton:
+    """Transitions in one array: the edge of state s by symbol c is at ``base[s] + c``, if ``owner`` there is s."""
+
+    def __init__(self, base: np.ndarray, owner: np.ndarray, to: np.ndarray, root: np.ndarray):
+        self.base, self.owner, self.to, self.root = base, owner, to, root
+
+    @classmethod
+    def of(cls, nxt: list[dict[int, int]], alphabet: int) -> Automaton:
+        """``alphabet``: number of symbols. The root's edges have an array of their own."""
+        base = np.zeros(len(nxt), np.int64)
+        taken = bytearray(alphabet + 2 * sum(map(len, nxt)) + len(nxt))
+        low = tries = 0
+        for s in sorted((s for s in range(1, len(nxt)) if len(nxt[s]) > 1), key=lambda s: -len(nxt[s])):
+            edges = list(nxt[s])
+            least = min(edges)
+            at = max(0, low - least)
+            while any(taken[at + c] for c in edges if at + c < len(taken)):
+                at += 1
+                tries += 1
+                if tries > 32:  # the front is nearly full
+                    low, tries = low + 1, 0
+                    at = max(at, low - least)
+            if at + max(edges) >= len(taken):
+                taken.extend(bytes(len(taken) + max(edges)))
+            for c in edges:
+                taken[at + c] = 1
+            base[s] = at
+        single = np.array([s for s in range(1, len(nxt)) if len(nxt[s]) == 1], np.int64)
+        symbol = np.array([next(iter(nxt[s])) for s in single.tolist()], np.int64)
+        taken.extend(bytes(alphabet + len(single)))
+        free = np.flatnonzero(np.frombuffer(taken, np.uint8)[alphabet:] == 0)[: len(single)] + alphabet
+        base[single] = free - symbol
+        owner = np.full(int(base.max(initial=0)) + alphabet + 1, -1, np.int32)
+        to = np.zeros(len(owner), np.int32)
+        for s, edges in enumerate(nxt[1:], 1):
+            at = int(base[s])
+            for c, t in edges.items():
+                owner[at + c], to[at + c] = s, t
+        root = np.zeros(alphabet, np.int32)
+        for c, t in nxt[0].items():
+            root[c] = t
+        return cls(base.astype(np.int32), owner, to, root)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and whether the symbols go on with the phrase; otherwise they begin one."""
+        at = self.base[state] + symbol
+        on = self.owner[at] == state
+        return np.where(on, self.to[at], self.root[symbol]), on
+
+    def pack(self) -> bytes:
+        return zlib.compress(pickle.dumps((self.base, self.owner, self.to, self.root)), 1)
+
+    @classmethod
+    def unpack(cls, raw: bytes) -> Automaton:
+        return cls(*pickle.loads(zlib.decompress(raw)))
 
 
 @dataclasses.dataclass
 class LanguageModel:
     langs: list[str]
-    code: np.ndarray  # code point -> symbol, for code points below 0x10000
-    packed: list[bytes]  # transition tables, compressed
+    points: np.ndarray  # known letters, sorted; symbol 0 is a break, 1 any other letter, 2 the first known one
+    packed: list[bytes]  # automata
     sizes: list[int]
 
-    def tables(self) -> list[np.ndarray]:
+    def automata(self) -> tuple[np.ndarray, list[Automaton]]:
+        """Symbols by code point, and the automata; unpacked once in each process."""
         if (found := _unpacked.get(key := hash(tuple(map(zlib.crc32, self.packed))))) is None:
+            code = np.ones(0x110000, np.int32)
+            code[0] = 0
+            code[self.points] = np.arange(2, 2 + len(self.points))
             _unpacked.clear()
-            found = _unpacked[key] = [np.frombuffer(zlib.decompress(p), np.int32) for p in self.packed]
+            found = _unpacked[key] = code, [Automaton.unpack(p) for p in self.packed]
         return found
 
-    def phrases(self, symbols: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-        """Phrases per document (rows) and language; ``symbols`` of all documents in a row, ``doc`` their documents."""
-        counts = np.bincount(doc, minlength=n)
+    def phrases(self, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Phrases per document (rows) and language; ``symbols`` of all documents in a row, ``counts`` of each."""
+        n = len(counts)
         blocks = -(-counts // BLOCK)
         owner = np.repeat(np.arange(n), blocks)
-        k = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        first = (np.cumsum(counts) - counts)[owner] + k * BLOCK
+        head = np.cumsum(blocks) - blocks  # first block of each document
+        k = np.arange(len(owner)) - head[owner]
+        begin = np.cumsum(counts) - counts
+        first = begin[owner] + k * BLOCK
         size = np.minimum(BLOCK, counts[owner] - k * BLOCK)
-        order = np.argsort(-size, kind="stable")
-        first, size, owner = first[order], size[order], owner[order]
         out = np.zeros((n, len(self.langs)), np.int64)
         if not len(owner):
             return out
-        live = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")
-        sym = symbols.astype(np.int32)
-        for j, table in enumerate(self.tables()):
-            state = np.zeros(len(first), np.int32)
-            begun = np.zeros(len(first), np.int32)
-            for t in range(size[0]):
-                m = live[t]
-                v = table[state[:m] * np.int32(ALPHABET) + sym[first[:m] + t]]
-                begun[:m] += v >> 30
-                state[:m] = v & (FLAG - 1)
-            out[:, j] = np.bincount(owner, weights=begun, minlength=n)
+        order = np.argsort(-size, kind="stable")  # rows of the arrays below; blocks keep their numbers in ``order``
+        start = first[order]
+        live = np.searchsorted(-size[order], -np.arange(1, size.max() + 1), side="right")
+        inner = k[order] > 0  # blocks that a parse from before comes into
+        more = k + 1 < blocks[owner]  # blocks that their parse leaves
+        end = (begin + counts)[owner]
+        for j, automaton in enumerate(self.automata()[1]):
+            mark = np.full(len(symbols) if inner.any() else 0, -1, np.int32)  # which phrase of its block begins here
+            state, begun = np.zeros(len(start), np.int32), np.zeros(len(start), np.int64)
+            for t, m in enumerate(live.tolist()):
+                state[:m], on = automaton.step(state[:m], symbols[start[:m] + t])
+                if t < HEAD and len(mark):
+                    at = np.flatnonzero(~on & inner[:m])
+                    mark[start[at] + t] = begun[at]
+                begun[:m] += ~on
+            total, where = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
+            total[order], where[order] = begun, state
+            target, entry = np.full(len(owner), -1), np.zeros(len(owner), np.int64)
+            b = np.flatnonzero(more)
+            at, here = first[b] + BLOCK, where[b]
+            while len(b):
+                here, on = automaton.step(here, symbols[at])
+                met = ~on & (mark[at] >= 0)
+                total[b] += ~on & ~met
+                i = b[met]
+                target[i], entry[i] = head[owner[i]] + (at[met] - begin[owner[i]]) // BLOCK, mark[at[met]]
+                at += 1
+                go = ~met & (at < end[b])
+                b, at, here = b[go], at[go], here[go]
+            doc = np.flatnonzero(blocks)
+            now, into = head[doc], np.zeros(len(doc), np.int64)
+            while len(doc):
+                out[doc, j] += total[now] - into
+                into, now = entry[now], target[now]
+                go = now >= 0
+                doc, now, into = doc[go], now[go], into[go]
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         n = len(texts)
         parts = [_letters(_points(t)) for t in texts]
-        doc = np.repeat(np.arange(n), [len(p) for p in parts])
-        points = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        letters = np.bincount(doc[points > 0], minlength=n)
+        counts = np.array([len(p) for p in parts], np.int64)
+        letters = np.array([np.count_nonzero(p) for p in parts], np.int64)
         if not self.langs:
             return ["und"] * n, np.zeros(n)
-        sym = np.where(points < len(self.code), self.code[np.minimum(points, len(self.code) - 1)], 1)
-        got = self.phrases(sym, doc, n)
-        rate = got * np.log2(np.maximum(2, np.array(self.sizes))) / np.maximum(1, np.bincount(doc, minlength=n))[:, None]
+        points = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        got = self.phrases(self.automata()[0][points], counts)
+        rate = got * np.log2(np.maximum(2, np.array(self.sizes))) / np.maximum(1, counts)[:, None]
         best = rate.argmin(1)
         z = -8 * (rate - rate.min(1, keepdims=True))
         score = 1 / np.exp(z).sum(1)
         return [self.langs[b] if k else "und" for b, k in zip(best, letters)], np.where(letters > 0, score, 0.0)
 
 
-_unpacked: dict[int, list[np.ndarray]] = {}
+_unpacked: dict[int, tuple[np.ndarray, list[Automaton]]] = {}
 
 
 def train(sample: dict[str, list[str]], max_chars: int = SAMPLE_CHARS) -> LanguageModel:
-    """Symbol 0 is a break, 1 any letter that is none of the ``ALPHABET`` - 2 most frequent ones."""
+    """Of each language whole texts in the given order, as many as fit into ``max_chars`` letters and breaks, one at least."""
     langs = sorted(k for k, v in sample.items() if any(_letters(_points(t.encode())).any() for t in v))
     if not langs:
-        return LanguageModel([], np.zeros(1, np.int32), [], [])
+        return LanguageModel([], np.zeros(0, np.uint32), [], [])
     texts = {}
     for lang in langs:
-        texts[lang] = np.concatenate([np.append(_letters(_points(t.encode())), 0) for t in sample[lang]])[:max_chars]
-    values, counts = np.unique(np.concatenate([texts[k][(texts[k] > 0) & (texts[k] < 0x10000)] for k in langs]), return_counts=True)
-    known = values[np.argsort(-counts, kind="stable")][: ALPHABET - 2]
-    code = np.ones(0x10000, np.int32)
-    code[0] = 0
-    code[known] = np.arange(2, 2 + len(known))
-    packed, sizes = [], []
-    for lang in langs:
-        points = texts[lang]
-        sym = np.where(points < 0x10000, code[np.minimum(points, 0xFFFF)], 1)
-        packed.append(zlib.compress(suffix_automaton(sym.tolist(), ALPHABET).tobytes(), 1))
-        sizes.append(len(sym))
-    return LanguageModel(langs, code, packed, sizes)
+        parts = [np.append(p, 0) for p in (_letters(_points(t.encode())) for t in sample[lang]) if p.any()]
+        total = np.cumsum([len(p) for p in parts])
+        texts[lang] = np.concatenate(parts[: max(1, int(np.searchsorted(total, max_chars, side="right")))])
+    points = np.unique(np.concatenate(list(texts.values())))
+    points = points[points > 0]
+    packed = [Automaton.of(suffix_automaton((np.searchsorted(points, t) + np.where(t > 0, 2, 0)).tolist()), len(points) + 2).pack() for t in texts.values()]
+    return LanguageModel(langs, points, packed, [len(t) for t in texts.values()])
 
 
 def fit(docs: DataFrame, mod: int = 3, held: int = 1, per_lang: int = PER_LANG) -> LanguageModel:
@@ -183,7 +261,7 @@ def fit(docs: DataFrame, mod: int = 3, held: int = 1, per_lang: int = PER_LANG)
     counts = base.groupBy("lang").count()
     share = F.least(F.lit(1.0), 4.0 * per_lang / F.col("count"))
     # a hash threshold leaves a few rows per language before any ordering, so no language fills a task
-    few = base.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
+    few = base.join(counts, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "text"))
     rows = few.select("lang", "text", rank.alias("k")).where(F.col("k") <= per_lang).collect()
     sample: dict[str, list[str]] = {}
@@ -200,8 +278,8 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
         raw = data.tobytes()
         return list(model.predict([raw[a:b] for a, b in zip(offs[:-1], offs[1:])]))
 
-    return map_text(docs, text, keep, FOUND, kernel)
+    return map_text(docs, text, keep, FOUND, kernel, limit=BATCH_BYTES)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return identify(docs, fit(docs), ["doc_id"]).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return identify(docs, fit(docs), ["doc_id"]).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
