@@ -17,8 +17,11 @@ CHUNK_BYTES = 1 << 20
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, dealt: bool = False) -> DataFrame:
+    """A table of the folder; with ``dealt`` its rows are dealt out over all cores where its files give fewer partitions."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if dealt and df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -105,28 +105,29 @@ class Automaton:
     def of(cls, nxt: list[dict[int, int]], alphabet: int) -> Automaton:
         """``alphabet``: number of symbols. The root's edges have an array of their own."""
         base = np.zeros(len(nxt), np.int64)
-        taken = bytearray(alphabet + 2 * sum(map(len, nxt)) + len(nxt))
-        low = tries = 0
-        for s in sorted((s for s in range(1, len(nxt)) if len(nxt[s]) > 1), key=lambda s: -len(nxt[s])):
-            edges = list(nxt[s])
-            least = min(edges)
-            at = max(0, low - least)
-            while any(taken[at + c] for c in edges if at + c < len(taken)):
-                at += 1
-                tries += 1
-                if tries > 32:  # the front is nearly full
-                    low, tries = low + 1, 0
-                    at = max(at, low - least)
-            if at + max(edges) >= len(taken):
-                taken.extend(bytes(len(taken) + max(edges)))
-            for c in edges:
-                taken[at + c] = 1
-            base[s] = at
-        single = np.array([s for s in range(1, len(nxt)) if len(nxt[s]) == 1], np.int64)
+        by_degree: dict[int, list[int]] = {}
+        for s, edges in enumerate(nxt[1:], 1):
+            by_degree.setdefault(len(edges), []).append(s)
+        taken = np.zeros(alphabet + 3 * sum(d * len(v) for d, v in by_degree.items() if d > 1) + 64, bool)
+        random = np.random.default_rng(7)
+        for d in sorted((d for d in by_degree if d > 1), reverse=True):
+            wait = np.array(by_degree[d])
+            symbols = np.array([list(nxt[s]) for s in by_degree[d]])
+            while len(wait):  # all states of this many edges draw offsets; those whose places are free and their own stay
+                at = random.integers(0, len(taken) - alphabet, len(wait))
+                place = at[:, None] + symbols
+                first = np.zeros(place.size, bool)
+                first[np.unique(place.ravel(), return_index=True)[1]] = True
+                won = (~taken[place] & first.reshape(place.shape)).all(1)
+                base[wait[won]] = at[won]
+                taken[place[won].ravel()] = True
+                wait, symbols = wait[~won], symbols[~won]
+                if not won.any():
+                    taken = np.append(taken, np.zeros(len(taken), bool))
+        single = np.array(by_degree.get(1, []), np.int64)
         symbol = np.array([next(iter(nxt[s])) for s in single.tolist()], np.int64)
-        taken.extend(bytes(alphabet + len(single)))
-        free = np.flatnonzero(np.frombuffer(taken, np.uint8)[alphabet:] == 0)[: len(single)] + alphabet
-        base[single] = free - symbol
+        taken = np.append(taken, np.zeros(alphabet + len(single), bool))
+        base[single] = np.flatnonzero(~taken[alphabet:])[: len(single)] + alphabet - symbol
         owner = np.full(int(base.max(initial=0)) + alphabet + 1, -1, np.int32)
         to = np.zeros(len(owner), np.int32)
         for s, edges in enumerate(nxt[1:], 1):

@@ -22,7 +22,7 @@ def piece_model() -> str:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.digest(table(spark, sf_dir, "documents", dealt=True), table(spark, sf_dir, "labels"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,31 +30,31 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secretscan.digest(table(spark, sf_dir, "documents"))
+    return secretscan.digest(table(spark, sf_dir, "documents", dealt=True))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.digest(table(spark, sf_dir, "documents"))
+    return langid.digest(table(spark, sf_dir, "documents", dealt=True))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", dealt=True))
 
 
 def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrdup.remove_repeats(table(spark, sf_dir, "documents"))
+    return substrdup.remove_repeats(table(spark, sf_dir, "documents", dealt=True))
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece.tokenize(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"], ids=None, digests=True)
+    return piece.tokenize(table(spark, sf_dir, "documents", dealt=True), piece_model(), ["doc_id"], ids=None, digests=True)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.digest(decontam.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]))
+    return decontam.digest(decontam.find_hits(table(spark, sf_dir, "documents", dealt=True), table(spark, sf_dir, "benchmark"), ["doc_id"]))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.digest(table(spark, sf_dir, "documents", dealt=True), table(spark, sf_dir, "labels"))
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
