@@ -54,6 +54,34 @@ def test_piece_equals_library(spark):
     assert out.first().n_tokens == 4 and out.columns.count("n_tokens") == 1
 
 
+def test_long_words_equal_library():
+    import time
+
+    import sentencepiece
+
+    path = queries.piece_model()
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    rnd = random.Random(31)
+    pieces = [sp.id_to_piece(i) for i in range(300, sp.get_piece_size()) if sp.id_to_piece(i).isalpha()]
+    texts = []
+    for _ in range(150):
+        n = rnd.randrange(65, 900)
+        texts.append("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n)))
+        texts.append("".join(rnd.choices("etaoinsrh", k=n)))
+        texts.append("".join(rnd.choices(pieces, k=n // 4)))
+        unit = "".join(rnd.choices("=-_ae▁hst", k=rnd.randrange(1, 12)))
+        texts.append(unit * (n // len(unit)) + rnd.choice(["", "x", "th", unit[:1]]))
+        texts.append("".join(rnd.choice("ab=") * rnd.randrange(1, 40) for _ in range(20)))
+    got = piece.encode(texts, path)
+    assert all(g.tolist() == sp.encode(t, add_bos=True, add_eos=True) for g, t in zip(got, texts))
+    for make in (lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n)), lambda n: "thequickbrownfox" * (n // 16), lambda n: "a" * n, lambda n: "haas=-" * (n // 6)):
+        text = make(1_000_000)
+        before = time.monotonic()
+        ids = piece.encode([text], path)[0].tolist()
+        took = time.monotonic() - before
+        assert ids == sp.encode(text, add_bos=True, add_eos=True) and took < 10, took
+
+
 # --- decontamination --------------------------------------------------------------------------------------------------
 
 DW = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
