@@ -500,7 +500,7 @@ def test_near_duplicates(spark, chunk, leaf, monkeypatch):
     monkeypatch.setattr(neardup, "CHUNK", chunk)
     monkeypatch.setattr(neardup, "LEAF", leaf)
     monkeypatch.setattr(neardup.candidate_links, "__defaults__", (*neardup.candidate_links.__defaults__[:2], leaf))
-    monkeypatch.setattr(neardup.confirmed_links, "__defaults__", (*neardup.confirmed_links.__defaults__[:3], chunk))
+    monkeypatch.setattr(neardup.confirmed_links, "__defaults__", (*neardup.confirmed_links.__defaults__[:3], chunk, 500 * chunk))
     texts = [None, "", "   ", "one two", "One\ttwo", "one two three", "a b c d e", "A b  c d e"]
     passage = prose(rnd, 60)
     for _ in range(14):
@@ -520,6 +520,35 @@ def test_near_duplicates(spark, chunk, leaf, monkeypatch):
     assert len(got) == len(texts) + 4 and [r.kept for r in got if r.doc_id is None] == [True]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rnd = random.Random(22)
+    a, b, c = (prose(rnd, 200) for _ in range(3))
+    texts = [a, b, edited(rnd, a, 0.005), edited(rnd, b, 0.005), c, "", c + " x", prose(rnd, 50)]
+    ids = [1, 1, 2, 3, 7, 7, 9, 12]
+    for cast in ("long", "string"):
+        df = frame(spark, texts, ids).withColumn("doc_id", F.col("doc_id").cast(cast))
+        got = sorted((int(r.doc_id), int(r.component_id), r.kept) for r in neardup.near_duplicates(df).collect())
+        assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (7, 7, True), (7, 7, True), (9, 7, False), (12, 12, True)]
+
+
+def test_recall_in_a_large_node(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(23)
+    n, pairs = 6000, 600
+    common = rnd.integers(-30000, 30000, neardup.COORDINATES, dtype=np.int16)
+    sig = np.where(rnd.random((n, neardup.COORDINATES)) < 0.55, common, rnd.integers(-30000, 30000, (n, neardup.COORDINATES), dtype=np.int16))
+    sig[pairs : 2 * pairs] = np.where(rnd.random((pairs, neardup.COORDINATES)) < 0.87, sig[:pairs], sig[pairs : 2 * pairs])
+    sig[2 * pairs : 4 * pairs] = np.where(rnd.random((2 * pairs, neardup.COORDINATES)) < 0.97, sig[2 * pairs], sig[2 * pairs : 4 * pairs])  # a large group of copies
+    reps = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sig)], "rep long, sig array<short>")
+    from tickloom.llm.components import components
+
+    comp = {r.id: r.component for r in components(neardup.candidate_links(reps)).collect()}
+    caught = sum(comp.get(i, -1) == comp.get(pairs + i, -2) for i in range(pairs))
+    assert caught >= 0.97 * pairs, caught
+    assert len({comp.get(i) for i in range(2 * pairs, 4 * pairs)}) == 1
+
+
 def test_near_duplicates_empty(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     assert {r.component_id for r in neardup.near_duplicates(frame(spark, [None, "", "only one here"])).collect()} == {0, 1, 2}

@@ -1,19 +1,27 @@
 """Near duplicates of documents by a chosen-path set similarity join over word shingles.
 
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words (with fewer words: the whole sequence). Equal
-sets become one representative first. ``TREES`` independent trees branch the representatives by minwise tokens: at a
-node, one coordinate of the signature (now and then two, 1/similarity on average) is selected by the node's own hash, and
-documents with the same minwise token there go to the same child. Nodes of at most ``LEAF`` documents are compared
-exhaustively on signatures; larger ones branch on, until they no longer shrink or ``LEVELS`` is reached, and are then
-compared in chunks that share leaders. Candidates join into clusters with a margin below the threshold.
-
-Links are confirmed on full sets: a cluster's sets meet once (a cluster over ``CHUNK`` documents in chunks with shared
-leaders, and then every document outside its largest component meets all chunks), and the intersections are counted
-exactly, for all documents but those of the largest component, whose links to others are links of those others.
-With the figures below a pair at the threshold is missed by one tree with probability of about 0.3, by all with 1e-7.
+sets become one representative first, under a key of their own (64 of the 128 bits that tell sets apart). ``TREES``
+independent trees branch the representatives by minwise tokens: at a node one coordinate of the signature (now and then
+two, 1/similarity on average) is selected, and documents with the same minwise token there go to the same child. Every tree
+has ``OWN`` coordinates for its first levels; deeper nodes select among all by their hash. Nodes of at most ``LEAF``
+documents are compared exhaustively on signatures. Larger ones branch on. At each, ``LEADERS`` documents meet all others,
+so that a large group of copies settles around a leader instead of staying together level by level; a node whose documents
+have all settled with one leader is done. Only nodes that neither shrink nor hold anything unsettled are dealt into chunks
+that share leaders. Candidates join into clusters with a margin below the threshold.
+
+Links are confirmed on full sets: a cluster's sets meet once (a large cluster in chunks of bounded documents and shingles
+with shared leaders, and then every document outside its largest component meets all chunks), and the intersections are
+counted exactly, for all documents but those of the largest component, whose links to others are links of those others.
+
+Recall: a pair of similarity 0.85 stays together in one tree with a probability of 0.78 if nodes are small after two
+levels and of 0.54 after six, so all trees miss it with 1e-9 to 2e-5 (levels beyond ``OWN`` / 2 share coordinates, so their
+part is an estimate); that its signatures agree in less than 0.66 of the coordinates has a probability of 1e-7. More
+similar pairs are missed less often.
 
 Null and wordless texts have empty sets and link with nothing; rows without id are kept and link with nothing; equal rows
-stay equal rows.
+stay equal rows; rows with the same id and different texts are one document with the links of all its texts. Ids may have
+any type with an order. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +36,10 @@ from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, w
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
-COORDINATES, TREES, START, LEVELS, LEAF, CHUNK = 64, 14, 2, 5, 48, 600
-#: Share of equal coordinates from which a pair is a candidate: the threshold less three standard deviations and more.
+COORDINATES, TREES, OWN, START, LEAF, LEADERS = 128, 14, 8, 2, 48, 3
+#: Documents, and shingles of all of them, that are confirmed together.
+CHUNK, CHUNK_SHINGLES = 256, 1 << 19
+#: Share of equal coordinates from which a pair is a candidate: the threshold less six standard deviations.
 CANDIDATE = 0.66
 #: Word bytes: all but space and 09-0D.
 WORD = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
@@ -69,15 +79,15 @@ _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D
 def signatures(sets: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """COORDINATES minwise tokens of each set (0 for empty sets)."""
     filled = np.flatnonzero(np.diff(offs))
-    out = np.zeros((len(offs) - 1, COORDINATES), np.int32)
+    out = np.zeros((len(offs) - 1, COORDINATES), np.int16)
     if len(filled):
         spread, starts = mix(sets), offs[:-1][filled]
         for k in range(COORDINATES):
-            out[filled, k] = (np.minimum.reduceat(spread * _ODD[k], starts) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            out[filled, k] = (np.minimum.reduceat(spread * _ODD[k], starts) >> np.uint64(48)).astype(np.uint16).view(np.int16)
     return out
 
 
-SKETCH = T.StructType([T.StructField("n_shingles", T.LongType(), False), T.StructField("set1", T.LongType(), False), T.StructField("set2", T.LongType(), False), T.StructField("sig", T.ArrayType(T.IntegerType()), False)])
+SKETCH = T.StructType([T.StructField("n_shingles", T.LongType(), False), T.StructField("set1", T.LongType(), False), T.StructField("set2", T.LongType(), False), T.StructField("sig", T.ArrayType(T.ShortType(), False), False)])
 
 
 def sketches(docs: DataFrame, keep: list[str], text: str = "text", n: int = SHINGLE) -> DataFrame:
@@ -99,13 +109,80 @@ def sketches(docs: DataFrame, keep: list[str], text: str = "text", n: int = SHIN
 # --- candidates -------------------------------------------------------------------------------------------------------
 
 
-def _selected(node, sig, similarity: float):
-    """Children of a node for a signature: under one coordinate chosen by the node's hash, or under two."""
-    first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
-    second = F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES)).cast("int")
-    child = lambda c: F.xxhash64(node, c, F.get(sig, c))
-    two = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(1000)) < int(1000 * (1 / similarity - 1))
-    return F.when(two & (first != second), F.array(child(first), child(second))).otherwise(F.array(child(first)))
+def branch(node: np.ndarray, tree: np.ndarray, level: int, sig: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child) of signatures at nodes: under one coordinate each, or under two."""
+    h = mix(node.view(np.uint64) + np.uint64(level + 1))
+    if 2 * level + 1 < OWN:
+        first, second = tree.astype(np.int64) * OWN + 2 * level, tree.astype(np.int64) * OWN + 2 * level + 1
+    else:
+        first, second = (h % np.uint64(COORDINATES)).astype(np.int64), (mix(h) % np.uint64(COORDINATES)).astype(np.int64)
+    two = (mix(h ^ np.uint64(0x9FB21C651E98DF25)) % np.uint64(1000)).astype(np.int64) < int(1000 * (1 / similarity - 1))
+    rows = np.arange(len(node))
+    again = rows[two & (first != second)]
+
+    def child(at: np.ndarray, c: np.ndarray) -> np.ndarray:
+        token = (c[at].astype(np.uint64) << np.uint64(16)) | sig[at, c[at]].view(np.uint16)
+        return mix(h[at] + mix(token + np.uint64(1))).view(np.int64)
+
+    return np.concatenate([rows, again]), np.concatenate([child(rows, first), child(again, second)])
+
+
+def _matrix(col: pa.Array) -> np.ndarray:
+    return col.flatten().to_numpy().reshape(-1, COORDINATES)
+
+
+def _first_nodes(trees: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (rep, sig) to (node, tree, rep) at level START of all trees."""
+        for batch in batches:
+            rep, sig = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            for t in range(trees):
+                rows, node = np.arange(len(rep)), np.full(len(rep), t, np.int64)
+                for level in range(START):
+                    more, node = branch(node, np.full(len(node), t), level, sig[rows], similarity)
+                    rows = rows[more]
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.full(len(node), t, np.int8)), pa.array(rep[rows])], names=["node", "tree", "rep"])
+
+    return run
+
+
+def _next_nodes(level: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (node, tree, rep, sig, grp, parent) one level down."""
+        for batch in batches:
+            rows, node = branch(batch.column(0).to_numpy(), batch.column(1).to_numpy(), level, _matrix(batch.column(3)), similarity)
+            rest = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(node), *[rest.column(i) for i in range(1, 6)]], names=rest.schema.names)
+
+    return run
+
+
+ROWS = "node long, tree byte, rep long, sig array<short>, grp long, parent long"
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, tree, rep, sig, grp, parent, leaders) with the leader that each document settled with, and all it met."""
+    for batch in batches:
+        rep, sig, grp = batch.column(2).to_numpy(), _matrix(batch.column(3)), batch.column(4)
+        free = np.asarray(grp.is_null())
+        grp = grp.fill_null(0).to_numpy().copy()
+        size = batch.column(6).value_lengths().to_numpy()
+        heads = batch.column(6).flatten()
+        owner = np.repeat(np.arange(len(rep)), size)
+        head, near = heads.field("rep").to_numpy(), np.zeros(len(owner), bool)
+        lead = _matrix(heads.field("sig"))
+        for at in range(0, len(owner), 8192):
+            part = slice(at, at + 8192)
+            near[part] = (sig[owner[part]] == lead[part]).sum(1) >= CANDIDATE * COORDINATES
+        for i in np.flatnonzero(near)[::-1].tolist():  # the first leader of those met stays
+            if free[owner[i]]:
+                grp[owner[i]] = head[i]
+        settled = ~free
+        settled[owner[near]] = True
+        other = near & (head != rep[owner])
+        at = np.concatenate(([0], np.cumsum(np.bincount(owner[other], minlength=len(rep))))).astype(np.int32)
+        met = pa.ListArray.from_arrays(pa.array(at), pa.array(head[other]))
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(grp, mask=~settled), batch.column(5), met], names=["node", "tree", "rep", "sig", "grp", "parent", "met"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +222,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         node, rep = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        sig = batch.column(2).flatten().to_numpy().reshape(-1, COORDINATES)
+        sig = _matrix(batch.column(2))
         if rest is not None:
             node, rep, sig = (np.concatenate([x, y]) for x, y in zip(rest, (node, rep, sig)))
         cut = int(np.searchsorted(node, node[-1]))
@@ -158,36 +235,47 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Links (a, b) that join candidates; ``reps`` has rep and sig, each set once."""
-    roots = F.array(*[F.lit(t).cast("long") for t in range(trees)])
-    nodes = reps.select("rep", "sig", F.explode(roots).alias("node"))
-    for _ in range(START):
-        nodes = nodes.select("rep", "sig", F.explode(_selected(F.col("node"), F.col("sig"), similarity)).alias("node"))
-    rows = stored(nodes.select("node", "rep"))
-    counts = rows.groupBy("node").count().where("count > 1")
-    live = rows.join(spread(counts, "node").hint("merge"), "node")
-    live = stored(live.join(reps, "rep").select("node", "rep", "sig", "count", F.lit(1 << 60).cast("long").alias("parent")))
-    leaves = []
-    for level in range(LEVELS + 1):
+    rows = stored(reps.select("rep", "sig").mapInArrow(_first_nodes(trees, similarity), "node long, tree byte, rep long"))
+    none = F.lit(None).cast("long")
+    counts = rows.groupBy("node").agg(F.count("*").alias("count")).where("count > 1")
+    live = rows.join(spread(counts, "node").hint("merge"), "node").join(reps.select("rep", "sig"), "rep")
+    live = stored(live.select("node", "tree", "rep", "sig", none.alias("grp"), F.lit(1 << 60).cast("long").alias("parent"), "count", F.lit(0).cast("long").alias("settled")))
+    leaves, links, level = [], [], START
+    while True:
         leaves.append(live.where(F.col("count") <= leaf).select("node", "rep", "sig"))
         big = live.where(F.col("count") > leaf)
-        stubborn = big.where((F.col("count") >= 0.7 * F.col("parent")) | F.lit(level == LEVELS))
         if not big.take(1):
             break
-        leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
-        heads = stubborn.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("l"))
-        chunks = lambda n: F.ceil(n / leaf).cast("long")
-        every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "l.rep", "l.sig")
-        dealt = stubborn.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep", "sig")
-        leaves += [every, dealt]
-        if level == LEVELS:
-            break
-        grown = big.where(F.col("count") < 0.7 * F.col("parent")).select("rep", "sig", F.col("count").alias("parent"), F.explode(_selected(F.col("node"), F.col("sig"), similarity)).alias("node"))
-        sizes = grown.groupBy("node").count().where("count > 1")
-        live = stored(grown.join(spread(sizes, "node").hint("merge"), "node").select("node", "rep", "sig", "count", "parent"))
+        stuck = (F.col("settled") == F.col("count")) & (F.col("count") >= 0.9 * F.col("parent"))
+        leaves += _chunked(big.where(stuck), leaf)
+        big = big.where(~stuck).select("node", "tree", "rep", "sig", "grp", F.col("count").alias("parent"))
+        leader = lambda k: F.min_by(F.when(F.col("grp").isNull(), F.struct("rep", "sig")), F.when(F.col("grp").isNull(), F.xxhash64(F.lit(k), "node", "rep"))).alias(f"l{k}")
+        heads = big.groupBy("node").agg(*[leader(k) for k in range(LEADERS)])
+        heads = heads.select("node", F.array_distinct(F.filter(F.array(*[f"l{k}" for k in range(LEADERS)]), lambda x: x.isNotNull())).alias("leaders"))
+        met = stored(big.join(spread(heads, "node").hint("merge"), "node").select("node", "tree", "rep", "sig", "grp", "parent", "leaders").mapInArrow(_settle, ROWS + ", met array<long>"))
+        links.append(met.select(F.col("rep").alias("a"), F.explode("met").alias("b")))
+        grown = stored(met.drop("met").mapInArrow(_next_nodes(level, similarity), ROWS))
+        # children that hold one document, or only documents of one leader, are done
+        sizes = grown.groupBy("node").agg(F.count("*").alias("count"), F.count("grp").alias("settled"), F.min("grp").alias("g1"), F.max("grp").alias("g2"))
+        sizes = sizes.where((F.col("count") > 1) & ((F.col("settled") < F.col("count")) | (F.col("g1") != F.col("g2")))).drop("g1", "g2")
+        live = stored(grown.join(spread(sizes, "node").hint("merge"), "node"))
+        level += 1
     union = leaves[0]
     for more in leaves[1:]:
         union = union.unionByName(more)
-    return union.dropDuplicates(["node", "rep"]).repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long").distinct()
+    found = union.dropDuplicates(["node", "rep"]).repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long")
+    for more in links:
+        found = found.unionByName(more)
+    return found.distinct()
+
+
+def _chunked(rows: DataFrame, leaf: int) -> list[DataFrame]:
+    """Nodes that do not shrink, dealt into chunks of ``leaf`` documents that share leaders."""
+    leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
+    heads = rows.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("l"))
+    chunks = lambda n: F.ceil(n / leaf).cast("long")
+    every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "l.rep", "l.sig")
+    return [every, rows.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep", "sig")]
 
 
 # --- confirmation -----------------------------------------------------------------------------------------------------
@@ -264,18 +352,22 @@ def _confirm(numerator: int, denominator: int):
 SETS = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType()), False)])
 
 
-def confirmed_links(docs: DataFrame, clusters: DataFrame, id_col: str, text: str, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, chunk: int = CHUNK) -> DataFrame:
-    """Exact links (a, b) that connect the documents of each cluster (id, component) as all its links would."""
+def confirmed_links(texts: DataFrame, clusters: DataFrame, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, chunk: int = CHUNK, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
+    """Exact links (a, b) that connect the sets of each cluster as all its links would.
+
+    ``texts`` has rep and the text of each set, ``clusters`` rep, cluster and n_shingles.
+    """
 
     def kernel(data: np.ndarray, offs: np.ndarray) -> list:
         sets, at = shingle_sets(data, offs, shingle)
         return [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))]
 
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / chunk).cast("long").alias("chunks"))
-    placed = clusters.join(sizes, "component").select(F.col("id").alias("rep"), F.col("component").alias("cluster"), "chunks")
+    parts = lambda: F.ceil(F.greatest(F.count("*") / chunk, F.sum("n_shingles") / chunk_shingles)).cast("long")
+    sizes = clusters.groupBy("cluster").agg(parts().alias("chunks"))
+    placed = clusters.join(spread(sizes, "cluster").hint("merge"), "cluster").select("rep", "cluster", "chunks", "n_shingles")
     # the clustered documents grow with the table, so they are never broadcast: one plan at every size
-    texts = docs.select(F.col(id_col).alias("rep"), F.col(text).alias("text")).join(placed.hint("merge"), "rep").dropDuplicates(["rep"])
-    sets = stored(map_text(texts, "text", ["rep", "cluster", "chunks"], SETS, kernel))
+    joined = texts.join(placed.hint("merge"), "rep")
+    sets = stored(map_text(joined, "text", ["rep", "cluster", "chunks", "n_shingles"], SETS, kernel))
     mine = F.pmod(F.xxhash64("rep"), F.col("chunks"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     many = sets.where("chunks > 1")
@@ -289,11 +381,11 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, id_col: str, text: str
         return links
     # large clusters: what is outside the largest component asks every chunk
     comp = components(links)
-    state = many.select("rep", "cluster").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("rep", "cluster", F.coalesce("component", "rep").alias("component"))
+    state = many.select("rep", "cluster", "n_shingles").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("rep", "cluster", "n_shingles", F.coalesce("component", "rep").alias("component"))
     state = stored(state)
     sizes = state.groupBy("cluster", "component").count().groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
     outside = state.join(sizes, "cluster").where(F.col("component") != F.col("largest"))
-    blocks = outside.groupBy("cluster").agg(F.ceil(F.count("*") / chunk).cast("long").alias("blocks"))
+    blocks = outside.groupBy("cluster").agg(parts().alias("blocks"))
     asking = many.join(outside.select("rep"), "rep", "left_semi").join(blocks, "cluster")
     asked = many.join(blocks, "cluster")
     block = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks"))
@@ -303,23 +395,29 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, id_col: str, text: str
     return links.unionByName(rows.groupBy("cluster", "chunk", "block").applyInArrow(task, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """``keep`` columns (default: the id) with n_shingles, component_id (smallest id reachable by links) and kept."""
-    keep = [id_col] if keep is None else keep
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketch = stored(sketches(slim, ["doc_id"], n=shingle))
-    filled = sketch.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    reps = filled.groupBy("set1", "set2", "n_shingles").agg(F.min_by(F.struct("doc_id", "sig"), "doc_id").alias("r")).select("set1", "set2", "n_shingles", F.col("r.doc_id").alias("rep"), F.col("r.sig").alias("sig"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """The id with n_shingles, component_id (smallest id reachable by links) and kept, one row for each row of ``docs``."""
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    sketch = sketches(slim, ["id", "th"], n=shingle).withColumn("rep", F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.xxhash64("set1", "set2", "n_shingles")))
+    sketch = stored(sketch.drop("set1", "set2"))
+    filled = sketch.where(F.col("rep").isNotNull())
+    reps = filled.groupBy("rep").agg(F.min_by(F.struct("id", "th", "sig", "n_shingles"), F.struct("id", "th")).alias("r")).select("rep", "r.*")
     reps = stored(reps)
-    clusters = components(candidate_links(reps.select("rep", "sig"), numerator / denominator))
-    comp = components(confirmed_links(slim, clusters, "doc_id", "text", shingle, numerator, denominator))
-    final = reps.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select(F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component"))
-    same = (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")) & (F.col("n_shingles") == F.col("n")) & (F.col("n_shingles") > 0)
-    out = sketch.join(final, same, "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id")).alias("component_id"))
-    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    if keep == [id_col]:
-        return out.withColumnRenamed("doc_id", id_col)
-    found = out.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "__id")
-    names = [c for c in keep if c not in ("n_shingles", "component_id", "kept")]
-    left = docs.select(*[F.col(f"`{c}`") for c in names], F.col(id_col).cast("long").alias("__doc"))
-    return left.join(found, F.col("__doc") == F.col("__id"), "left").drop("__doc", "__id")
+    clusters = components(candidate_links(reps, numerator / denominator)).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
+    clusters = stored(clusters.join(reps.select("rep", "id", "th", "n_shingles"), "rep"))
+    texts = slim.join(clusters.select("rep", "id", "th").hint("merge"), ["id", "th"]).select("rep", "text").dropDuplicates(["rep"])
+    links = confirmed_links(texts, clusters.select("rep", "cluster", "n_shingles"), shingle, numerator, denominator)
+    several = stored(sketch.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("n"), F.count("rep").alias("f")).where("a <> b or n > f"))
+    twice = bool(several.take(1))  # ids with several texts: their sets belong together
+    if twice:
+        links = links.unionByName(filled.select("id", "rep").distinct().join(several.where("a <> b").select("id", "a"), "id").select("a", F.col("rep").alias("b")))
+    comp = components(links)
+    of = reps.select("rep", "id").join(comp.select(F.col("id").alias("rep"), "component"), "rep")
+    least = of.groupBy("component").agg(F.min("id").alias("least"))
+    final = of.join(spread(least, "component").hint("merge"), "component").select("rep", "least")
+    final = reps.select("rep", "id").join(final, "rep", "left").select("rep", F.coalesce("least", "id").alias("component_id"))
+    out = sketch.select("id", "n_shingles", "rep").join(spread(final, "rep").hint("merge"), "rep", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    if twice:
+        lowest = out.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("component_id").alias("lowest"))
+        out = out.join(spread(lowest, "id").hint("merge"), "id", "left").select("id", "n_shingles", F.coalesce("lowest", "component_id").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
