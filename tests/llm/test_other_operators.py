@@ -88,7 +88,7 @@ def test_embedding_duplicates(spark, shard):
     out = embdup.near_duplicates(df.withColumns({c: F.lit(1) for c in ("rep", "v", "id", "mult", "component")}), shard_rows=shard).collect()
     want = embedding_brute(rows)
     assert {r.vec_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()} and all(r.kept == (r.vec_id == r.component_id) for r in out)
-    assert sum(r.n_links == want[r.vec_id][0] for r in out) >= 0.97 * len(out) and sum(r.n_links for r in out) >= 0.97 * sum(n for n, _ in want.values())
+    assert sum(r.n_links for r in out) >= embdup.RECALL * sum(n for n, _ in want.values())
     assert all(r.n_links <= want[r.vec_id][0] for r in out)
     assert embdup.near_duplicates(df.where("false")).count() == 0
     assert embdup.near_duplicates(df.unionByName(df.limit(4))).count() == len(rows)
@@ -99,9 +99,44 @@ def test_graph_recall():
     c = rnd.normal(size=(60, 24))
     x = np.repeat(c, 40, 0) + rnd.normal(size=(2400, 24)) * 0.08
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    found = {(at + r, n) for at, rows, nodes in embdup.linked(x, x, np.arange(len(x)), 0.98) for r, n in zip(rows.tolist(), nodes.tolist())}
+    graph = embdup.SmallWorld.unpack(embdup.SmallWorld(x).pack())
+    assert len(graph.links) == 3 and len(graph.top) <= embdup.TOP
+    found = {(at + r, n) for at, rows, nodes in embdup.linked(graph, x, np.arange(len(x)), 0.98) for r, n in zip(rows.tolist(), nodes.tolist())}
     want = {tuple(p) for p in np.argwhere(x @ x.T >= 0.98).tolist()}
-    assert found <= want and len(found) >= 0.97 * len(want)
+    assert found <= want and len(found) >= embdup.RECALL * len(want)
+
+
+def test_small_labels_have_graphs():
+    rnd = np.random.default_rng(4)
+    x = np.repeat(rnd.normal(size=(20, 16)), 10, 0) + rnd.normal(size=(200, 16)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = embdup.SmallWorld(x)
+    assert len(graph.links) >= 1 and len(graph.top) <= embdup.TOP
+    found = {(at + r, n) for at, rows, nodes in embdup.linked(graph, x, np.arange(200), 0.98) for r, n in zip(rows.tolist(), nodes.tolist())}
+    assert found == {tuple(p) for p in np.argwhere(x @ x.T >= 0.98).tolist()}
+
+
+def test_failed_audits_widen_the_search(monkeypatch):
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(300, 8))
+    x[150:] = x[:150] + rnd.normal(size=(150, 8)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = embdup.SmallWorld(x)
+    graph.links = [np.full_like(links, -1) for links in graph.links]  # a graph that leads nowhere
+    found = {(at + r, n) for at, rows, nodes in embdup.linked(graph, x, np.full(300, -1), 0.98) for r, n in zip(rows.tolist(), nodes.tolist())}
+    assert found == {tuple(p) for p in np.argwhere(x @ x.T >= 0.98).tolist()} and len(graph.top) == 300
+
+
+def test_cells_keep_all_links(spark):
+    """A label of many shards around pivots, one cell of it dense."""
+    rnd = np.random.default_rng(6)
+    c = rnd.normal(size=(40, 12))
+    x = np.concatenate([np.repeat(c, 20, 0) + rnd.normal(size=(800, 12)) * 0.08, c[0] + rnd.normal(size=(300, 12)) * 0.02])
+    rows = [(i, v.tolist(), 3) for i, v in enumerate(x)]
+    out = embdup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), shard_rows=100).collect()
+    want = embedding_brute([(i, np.float32(v).astype(float).tolist(), y) for i, v, y in rows])
+    assert {r.vec_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()}
+    assert sum(r.n_links for r in out) >= embdup.RECALL * sum(n for n, _ in want.values()) and all(r.n_links <= want[r.vec_id][0] for r in out)
 
 
 def test_pipeline(spark, tmp_path):
