@@ -124,7 +124,7 @@ def test_failed_audits_widen_the_search(monkeypatch):
     graph = embdup.SmallWorld(x)
     graph.links = [np.full_like(links, -1) for links in graph.links]  # a graph that leads nowhere
     found = {(at + r, n) for at, rows, nodes in embdup.linked(graph, x, np.full(300, -1), 0.98) for r, n in zip(rows.tolist(), nodes.tolist())}
-    assert found == {tuple(p) for p in np.argwhere(x @ x.T >= 0.98).tolist()} and len(graph.top) == 300
+    assert found == {tuple(p) for p in np.argwhere(x @ x.T >= 0.98).tolist()} and len(graph.top) >= 128
 
 
 def test_cells_keep_all_links(spark):
