@@ -5,10 +5,11 @@ sets become one representative first, under a key of their own (64 of the 128 bi
 independent trees branch the representatives by minwise tokens: at a node one coordinate of the signature (now and then
 two, 1/similarity on average) is selected, and documents with the same minwise token there go to the same child. Every tree
 has ``OWN`` coordinates for its first levels; deeper nodes select among all by their hash. Nodes of at most ``LEAF``
-documents are compared exhaustively on signatures. Larger ones branch on. At each, ``LEADERS`` documents meet all others,
-so that a large group of copies settles around a leader instead of staying together level by level; a node whose documents
-have all settled with one leader is done. Only nodes that neither shrink nor hold anything unsettled are dealt into chunks
-that share leaders. Candidates join into clusters with a margin below the threshold.
+documents are compared exhaustively on signatures (nodes that hold the same documents once); larger ones branch on until
+they are small. Before that, large groups of copies are thinned out tree by tree: a document that agrees with a leader of
+its large node in 0.9 of the coordinates is linked to it and leaves, as it would stay with it at every level of every tree;
+its partners are near enough to the leader to be candidates of that. Only nodes that then neither shrink nor are small are
+dealt into chunks that share leaders. Candidates join into clusters with a margin below the threshold.
 
 Links are confirmed on full sets: a cluster's sets meet once (a large cluster in chunks of bounded documents and shingles
 with shared leaders, and then every document outside its largest component meets all chunks), and the intersections are
@@ -36,7 +37,9 @@ from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, w
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
-COORDINATES, TREES, OWN, START, LEAF, LEADERS = 128, 14, 8, 2, 48, 3
+COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 48
+#: Leaders of a large node are the first by rank modulo these; what agrees with one in this share of coordinates leaves.
+LEADERS, CLOSE = (1 << 60, 1_000_003, 999_983), 0.9
 #: Documents, and shingles of all of them, that are confirmed together.
 CHUNK, CHUNK_SHINGLES = 256, 1 << 19
 #: Share of equal coordinates from which a pair is a candidate: the threshold less six standard deviations.
@@ -131,12 +134,12 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy().reshape(-1, COORDINATES)
 
 
-def _first_nodes(trees: int, similarity: float):
+def _first_nodes(trees: range, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (rep, sig) to (node, tree, rep) at level START of all trees."""
+        """Rows (rep, sig) to (node, tree, rep) at level START of the trees."""
         for batch in batches:
             rep, sig = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            for t in range(trees):
+            for t in trees:
                 rows, node = np.arange(len(rep)), np.full(len(rep), t, np.int64)
                 for level in range(START):
                     more, node = branch(node, np.full(len(node), t), level, sig[rows], similarity)
@@ -146,43 +149,38 @@ def _first_nodes(trees: int, similarity: float):
     return run
 
 
+NODES = "node long, tree byte, rep long"
+
+
 def _next_nodes(level: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (node, tree, rep, sig, grp, parent) one level down."""
+        """Rows (rep, sig, at: its nodes with their trees and sizes) to (node, tree, rep, parent) one level down."""
         for batch in batches:
-            rows, node = branch(batch.column(0).to_numpy(), batch.column(1).to_numpy(), level, _matrix(batch.column(3)), similarity)
-            rest = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(node), *[rest.column(i) for i in range(1, 6)]], names=rest.schema.names)
+            sig, at = _matrix(batch.column(1)), batch.column(2)
+            owner = np.repeat(np.arange(batch.num_rows), at.value_lengths().to_numpy())
+            flat = at.flatten()
+            node, tree, size = (flat.field(c).to_numpy() for c in ("node", "tree", "count"))
+            for a in range(0, len(owner), 1 << 14):
+                part = slice(a, a + (1 << 14))
+                rows, child = branch(node[part], tree[part], level, sig[owner[part]], similarity)
+                rows = rows + a
+                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(tree[rows]), pa.array(batch.column(0).to_numpy()[owner[rows]]), pa.array(size[rows])], names=["node", "tree", "rep", "parent"])
 
     return run
 
 
-ROWS = "node long, tree byte, rep long, sig array<short>, grp long, parent long"
-
-
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, tree, rep, sig, grp, parent, leaders) with the leader that each document settled with, and all it met."""
+    """Rows (rep, rank, sig, leaders) to (rep, leader, gone): leaders that a document meets, and whether it leaves for one."""
     for batch in batches:
-        rep, sig, grp = batch.column(2).to_numpy(), _matrix(batch.column(3)), batch.column(4)
-        free = np.asarray(grp.is_null())
-        grp = grp.fill_null(0).to_numpy().copy()
-        size = batch.column(6).value_lengths().to_numpy()
-        heads = batch.column(6).flatten()
-        owner = np.repeat(np.arange(len(rep)), size)
-        head, near = heads.field("rep").to_numpy(), np.zeros(len(owner), bool)
-        lead = _matrix(heads.field("sig"))
-        for at in range(0, len(owner), 8192):
-            part = slice(at, at + 8192)
-            near[part] = (sig[owner[part]] == lead[part]).sum(1) >= CANDIDATE * COORDINATES
-        for i in np.flatnonzero(near)[::-1].tolist():  # the first leader of those met stays
-            if free[owner[i]]:
-                grp[owner[i]] = head[i]
-        settled = ~free
-        settled[owner[near]] = True
-        other = near & (head != rep[owner])
-        at = np.concatenate(([0], np.cumsum(np.bincount(owner[other], minlength=len(rep))))).astype(np.int32)
-        met = pa.ListArray.from_arrays(pa.array(at), pa.array(head[other]))
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(grp, mask=~settled), batch.column(5), met], names=["node", "tree", "rep", "sig", "grp", "parent", "met"])
+        rep, rank, sig = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
+        owner = np.repeat(np.arange(len(rep)), batch.column(3).value_lengths().to_numpy())
+        heads = batch.column(3).flatten()
+        head, first, lead = heads.field("rep").to_numpy(), heads.field("rank").to_numpy(), _matrix(heads.field("sig"))
+        same = np.concatenate([(sig[owner[a : a + 8192]] == lead[a : a + 8192]).sum(1) for a in range(0, len(owner), 8192)] or [np.zeros(0, int)])
+        ahead = (first < rank[owner]) | ((first == rank[owner]) & (head < rep[owner]))
+        i = np.flatnonzero((same >= CLOSE * COORDINATES) & ahead)
+        i = i[np.unique(owner[i], return_index=True)[1]]  # one leader is enough
+        yield pa.RecordBatch.from_arrays([pa.array(rep[owner[i]]), pa.array(head[i])], names=["rep", "leader"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,37 +231,60 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(*rest)
 
 
+def settled(reps: DataFrame, similarity: float, trees: int, leaf: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``reps`` without those that are close to a leader of a large node, and links (a, b) of these to their leaders.
+
+    One tree after the other, until hardly any document leaves: a large group of copies would stay together in every tree.
+    A document leaves only for a leader ahead of it in one fixed order, so of any group one stays. Whatever is a partner of
+    one that left is still a candidate of its leader, as both are so close.
+    """
+    rank = F.xxhash64(F.lit(9), "rep").alias("rank")
+    links: list[DataFrame] = []
+    for t in range(trees):
+        rows = reps.select("rep", "sig").mapInArrow(_first_nodes(range(t, t + 1), similarity), NODES)
+        large = rows.groupBy("node").agg(F.count("*").alias("count")).where(F.col("count") > leaf).select("node")
+        rows = stored(rows.join(spread(large, "node").hint("merge"), "node").select("node", "rep"))
+        if not rows.take(1):
+            break
+        full = rows.join(reps.select("rep", "sig"), "rep").select("node", "rep", rank, "sig")
+        leader = lambda k: F.min_by(F.struct("rep", "rank", "sig"), F.struct(F.pmod("rank", F.lit(k)), "rank", "rep")).alias(f"l{k}")
+        heads = full.groupBy("node").agg(*[leader(k) for k in LEADERS])
+        heads = heads.select("node", F.array_distinct(F.array(*[f"l{k}" for k in LEADERS])).alias("leaders"))
+        met = full.join(spread(heads, "node").hint("merge"), "node").select("rep", "rank", "sig", "leaders").mapInArrow(_settle, "rep long, leader long")
+        gone = stored(met.groupBy("rep").agg(F.min("leader").alias("leader")))
+        links.append(gone.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
+        left = gone.count()
+        if left:
+            reps = stored(reps.join(gone.select("rep").hint("merge"), "rep", "left_anti"))
+        if left <= leaf:
+            break
+    return reps, links
+
+
 def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Links (a, b) that join candidates; ``reps`` has rep and sig, each set once."""
-    rows = stored(reps.select("rep", "sig").mapInArrow(_first_nodes(trees, similarity), "node long, tree byte, rep long"))
-    none = F.lit(None).cast("long")
-    counts = rows.groupBy("node").agg(F.count("*").alias("count")).where("count > 1")
-    live = rows.join(spread(counts, "node").hint("merge"), "node").join(reps.select("rep", "sig"), "rep")
-    live = stored(live.select("node", "tree", "rep", "sig", none.alias("grp"), F.lit(1 << 60).cast("long").alias("parent"), "count", F.lit(0).cast("long").alias("settled")))
-    leaves, links, level = [], [], START
+    reps, links = settled(reps.select("rep", "sig"), similarity, trees, leaf)
+    rows = stored(reps.mapInArrow(_first_nodes(range(trees), similarity), NODES)).withColumn("parent", F.lit(1 << 60).cast("long"))
+    small, level = [], START
+    mark = [F.bit_xor(F.xxhash64(F.lit(k), "rep")).alias(f"m{k}") for k in (1, 2)]
     while True:
-        leaves.append(live.where(F.col("count") <= leaf).select("node", "rep", "sig"))
-        big = live.where(F.col("count") > leaf)
-        if not big.take(1):
+        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("count"), F.first("parent").alias("parent"), *mark).where("count > 1"))
+        # nodes of the same documents, as copies make them in every tree, are compared once
+        once = sizes.where(F.col("count") <= leaf).groupBy("count", "m1", "m2").agg(F.min("node").alias("node")).select("node")
+        small.append(rows.select("node", "rep").join(spread(once, "node").hint("merge"), "node"))
+        large = sizes.where(F.col("count") > leaf).select("node", "count", (F.col("count") >= 0.9 * F.col("parent")).alias("stuck"))
+        if not large.take(1):
             break
-        stuck = (F.col("settled") == F.col("count")) & (F.col("count") >= 0.9 * F.col("parent"))
-        leaves += _chunked(big.where(stuck), leaf)
-        big = big.where(~stuck).select("node", "tree", "rep", "sig", "grp", F.col("count").alias("parent"))
-        leader = lambda k: F.min_by(F.when(F.col("grp").isNull(), F.struct("rep", "sig")), F.when(F.col("grp").isNull(), F.xxhash64(F.lit(k), "node", "rep"))).alias(f"l{k}")
-        heads = big.groupBy("node").agg(*[leader(k) for k in range(LEADERS)])
-        heads = heads.select("node", F.array_distinct(F.filter(F.array(*[f"l{k}" for k in range(LEADERS)]), lambda x: x.isNotNull())).alias("leaders"))
-        met = stored(big.join(spread(heads, "node").hint("merge"), "node").select("node", "tree", "rep", "sig", "grp", "parent", "leaders").mapInArrow(_settle, ROWS + ", met array<long>"))
-        links.append(met.select(F.col("rep").alias("a"), F.explode("met").alias("b")))
-        grown = stored(met.drop("met").mapInArrow(_next_nodes(level, similarity), ROWS))
-        # children that hold one document, or only documents of one leader, are done
-        sizes = grown.groupBy("node").agg(F.count("*").alias("count"), F.count("grp").alias("settled"), F.min("grp").alias("g1"), F.max("grp").alias("g2"))
-        sizes = sizes.where((F.col("count") > 1) & ((F.col("settled") < F.col("count")) | (F.col("g1") != F.col("g2")))).drop("g1", "g2")
-        live = stored(grown.join(spread(sizes, "node").hint("merge"), "node"))
+        big = stored(rows.select("node", "tree", "rep").join(spread(large, "node").hint("merge"), "node"))
+        small += _chunked(big.where("stuck"), leaf)
+        at = big.where("NOT stuck").groupBy("rep").agg(F.collect_list(F.struct("node", "tree", "count")).alias("at"))
+        rows = stored(reps.join(at.hint("merge"), "rep").select("rep", "sig", "at").mapInArrow(_next_nodes(level, similarity), NODES + ", parent long"))
         level += 1
-    union = leaves[0]
-    for more in leaves[1:]:
+    union = small[0]
+    for more in small[1:]:
         union = union.unionByName(more)
-    found = union.dropDuplicates(["node", "rep"]).repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long")
+    union = union.distinct().join(reps.hint("merge"), "rep").select("node", "rep", "sig")
+    found = union.repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long")
     for more in links:
         found = found.unionByName(more)
     return found.distinct()
@@ -271,11 +292,11 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
 
 def _chunked(rows: DataFrame, leaf: int) -> list[DataFrame]:
     """Nodes that do not shrink, dealt into chunks of ``leaf`` documents that share leaders."""
-    leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
-    heads = rows.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("l"))
+    leader = lambda k: F.min_by("rep", F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
+    heads = rows.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("rep"))
     chunks = lambda n: F.ceil(n / leaf).cast("long")
-    every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "l.rep", "l.sig")
-    return [every, rows.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep", "sig")]
+    every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "rep")
+    return [every, rows.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep")]
 
 
 # --- confirmation -----------------------------------------------------------------------------------------------------
