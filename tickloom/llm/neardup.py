@@ -8,8 +8,9 @@ has ``OWN`` coordinates for its first levels; deeper nodes select among all by t
 documents are compared exhaustively on signatures (nodes that hold the same documents once); larger ones branch on until
 they are small. Before that, large groups of copies are thinned out tree by tree: a document that agrees with a leader of
 its large node in 0.9 of the coordinates is linked to it and leaves, as it would stay with it at every level of every tree;
-its partners are near enough to the leader to be candidates of that. Only nodes that then neither shrink nor are small are
-dealt into chunks that share leaders. Candidates join into clusters with a margin below the threshold.
+its partners are near enough to the leader to be candidates of that. In a large node that hardly shrinks most documents
+agree with most others: all are compared with four leaders, candidates of a leader are linked to it, and the rest branches
+on without them. Candidates join into clusters with a margin below the threshold.
 
 Links are confirmed on full sets: a cluster's sets meet once (a large cluster in chunks of bounded documents and shingles
 with shared leaders, and then every document outside its largest component meets all chunks), and the intersections are
@@ -37,9 +38,11 @@ from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, w
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
-COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 48
+COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 128
 #: Leaders of a large node are the first by rank modulo these; what agrees with one in this share of coordinates leaves.
 LEADERS, CLOSE = (1 << 60, 1_000_003, 999_983), 0.9
+#: A large node that keeps this share of its parent holds mostly documents that are candidates of one another.
+STUCK = 0.7
 #: Documents, and shingles of all of them, that are confirmed together.
 CHUNK, CHUNK_SHINGLES = 256, 1 << 19
 #: Share of equal coordinates from which a pair is a candidate: the threshold less six standard deviations.
@@ -183,6 +186,21 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rep[owner[i]]), pa.array(head[i])], names=["rep", "leader"])
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, tree, rep, count, sig, leaders) with the first leader that is a candidate of the document, or null."""
+    for batch in batches:
+        rep, sig = batch.column(2).to_numpy(), _matrix(batch.column(4))
+        owner = np.repeat(np.arange(len(rep)), batch.column(5).value_lengths().to_numpy())
+        heads = batch.column(5).flatten()
+        head, lead = heads.field("rep").to_numpy(), _matrix(heads.field("sig"))
+        same = np.concatenate([(sig[owner[a : a + 8192]] == lead[a : a + 8192]).sum(1) for a in range(0, len(owner), 8192)] or [np.zeros(0, int)])
+        near = np.flatnonzero(same >= CANDIDATE * COORDINATES)
+        near = near[np.unique(owner[near], return_index=True)[1]]
+        leader, none = np.zeros(len(rep), np.int64), np.ones(len(rep), bool)
+        leader[owner[near]], none[owner[near]] = head[near], False
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(leader, mask=none)], names=["node", "tree", "rep", "count", "leader"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, rep, sig) sorted by node: links of each document to the smallest of its part of the node."""
 
@@ -271,13 +289,20 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
         sizes = stored(rows.groupBy("node").agg(F.count("*").alias("count"), F.first("parent").alias("parent"), *mark).where("count > 1"))
         # nodes of the same documents, as copies make them in every tree, are compared once
         once = sizes.where(F.col("count") <= leaf).groupBy("count", "m1", "m2").agg(F.min("node").alias("node")).select("node")
-        small.append(rows.select("node", "rep").join(spread(once, "node").hint("merge"), "node"))
-        large = sizes.where(F.col("count") > leaf).select("node", "count", (F.col("count") >= 0.9 * F.col("parent")).alias("stuck"))
+        small.append(stored(rows.select("node", "rep").join(spread(once, "node").hint("merge"), "node")))
+        large = sizes.where(F.col("count") > leaf).select("node", "count", (F.col("count") >= STUCK * F.col("parent")).alias("stuck"))
         if not large.take(1):
             break
         big = stored(rows.select("node", "tree", "rep").join(spread(large, "node").hint("merge"), "node"))
-        small += _chunked(big.where("stuck"), leaf)
-        at = big.where("NOT stuck").groupBy("rep").agg(F.collect_list(F.struct("node", "tree", "count")).alias("at"))
+        free = big.where("NOT stuck").drop("stuck")
+        if (stuck := big.where("stuck")).take(1):
+            full = stuck.join(reps, "rep").select("node", "tree", "rep", "count", "sig")
+            leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
+            heads = full.groupBy("node").agg(*[leader(k) for k in range(4)]).select("node", F.array_distinct(F.array(*[f"l{k}" for k in range(4)])).alias("leaders"))
+            met = stored(full.join(spread(heads, "node").hint("merge"), "node").select(*full.columns, "leaders").mapInArrow(_meet, NODES + ", count long, leader long"))
+            links.append(met.where("leader <> rep").select(F.col("rep").alias("a"), F.col("leader").alias("b")))
+            free = free.unionByName(met.where("leader IS NULL").drop("leader"))
+        at = free.groupBy("rep").agg(F.collect_list(F.struct("node", "tree", "count")).alias("at"))
         rows = stored(reps.join(at.hint("merge"), "rep").select("rep", "sig", "at").mapInArrow(_next_nodes(level, similarity), NODES + ", parent long"))
         level += 1
     union = small[0]
@@ -290,15 +315,6 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
     return found.distinct()
 
 
-def _chunked(rows: DataFrame, leaf: int) -> list[DataFrame]:
-    """Nodes that do not shrink, dealt into chunks of ``leaf`` documents that share leaders."""
-    leader = lambda k: F.min_by("rep", F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
-    heads = rows.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("rep"))
-    chunks = lambda n: F.ceil(n / leaf).cast("long")
-    every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "rep")
-    return [every, rows.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep")]
-
-
 # --- confirmation -----------------------------------------------------------------------------------------------------
 
 
