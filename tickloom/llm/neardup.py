@@ -5,12 +5,10 @@ sets become one representative first, under a key of their own (64 of the 128 bi
 independent trees branch the representatives by minwise tokens: at a node one coordinate of the signature (now and then
 two, 1/similarity on average) is selected, and documents with the same minwise token there go to the same child. Every tree
 has ``OWN`` coordinates for its first levels; deeper nodes select among all by their hash. Nodes of at most ``LEAF``
-documents are compared exhaustively on signatures (nodes that hold the same documents once); larger ones branch on until
-they are small. Before that, large groups of copies are thinned out tree by tree: a document that agrees with a leader of
-its large node in 0.9 of the coordinates is linked to it and leaves, as it would stay with it at every level of every tree;
-its partners are near enough to the leader to be candidates of that. In a large node that hardly shrinks most documents
-agree with most others: all are compared with four leaders, candidates of a leader are linked to it, and the rest branches
-on without them. Candidates join into clusters with a margin below the threshold.
+documents are compared exhaustively on signatures, larger ones branch on until they are small, however many levels that
+takes. A child that keeps ``STUCK`` of its parent's documents holds mostly such as agree with most others there, as copies
+do: it is dealt into chunks of ``LEAF`` documents that share four leaders. Candidates join into clusters with a margin below
+the threshold.
 
 Links are confirmed on full sets: a cluster's sets meet once (a large cluster in chunks of bounded documents and shingles
 with shared leaders, and then every document outside its largest component meets all chunks), and the intersections are
@@ -38,10 +36,8 @@ from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, w
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
-COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 128
-#: Leaders of a large node are the first by rank modulo these; what agrees with one in this share of coordinates leaves.
-LEADERS, CLOSE = (1 << 60, 1_000_003, 999_983), 0.9
-#: A large node that keeps this share of its parent holds mostly documents that are candidates of one another.
+COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 48
+#: A large node that keeps this share of its parent holds mostly documents that are candidates of one another and of leaders.
 STUCK = 0.7
 #: Documents, and shingles of all of them, that are confirmed together.
 CHUNK, CHUNK_SHINGLES = 256, 1 << 19
@@ -155,50 +151,15 @@ def _first_nodes(trees: range, similarity: float):
 NODES = "node long, tree byte, rep long"
 
 
-def _next_nodes(level: int, similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (rep, sig, at: its nodes with their trees and sizes) to (node, tree, rep, parent) one level down."""
-        for batch in batches:
-            sig, at = _matrix(batch.column(1)), batch.column(2)
-            owner = np.repeat(np.arange(batch.num_rows), at.value_lengths().to_numpy())
-            flat = at.flatten()
-            node, tree, size = (flat.field(c).to_numpy() for c in ("node", "tree", "count"))
-            for a in range(0, len(owner), 1 << 14):
-                part = slice(a, a + (1 << 14))
-                rows, child = branch(node[part], tree[part], level, sig[owner[part]], similarity)
-                rows = rows + a
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(tree[rows]), pa.array(batch.column(0).to_numpy()[owner[rows]]), pa.array(size[rows])], names=["node", "tree", "rep", "parent"])
-
-    return run
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rep, rank, sig, leaders) to (rep, leader, gone): leaders that a document meets, and whether it leaves for one."""
-    for batch in batches:
-        rep, rank, sig = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
-        owner = np.repeat(np.arange(len(rep)), batch.column(3).value_lengths().to_numpy())
-        heads = batch.column(3).flatten()
-        head, first, lead = heads.field("rep").to_numpy(), heads.field("rank").to_numpy(), _matrix(heads.field("sig"))
-        same = np.concatenate([(sig[owner[a : a + 8192]] == lead[a : a + 8192]).sum(1) for a in range(0, len(owner), 8192)] or [np.zeros(0, int)])
-        ahead = (first < rank[owner]) | ((first == rank[owner]) & (head < rep[owner]))
-        i = np.flatnonzero((same >= CLOSE * COORDINATES) & ahead)
-        i = i[np.unique(owner[i], return_index=True)[1]]  # one leader is enough
-        yield pa.RecordBatch.from_arrays([pa.array(rep[owner[i]]), pa.array(head[i])], names=["rep", "leader"])
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, tree, rep, count, sig, leaders) with the first leader that is a candidate of the document, or null."""
-    for batch in batches:
-        rep, sig = batch.column(2).to_numpy(), _matrix(batch.column(4))
-        owner = np.repeat(np.arange(len(rep)), batch.column(5).value_lengths().to_numpy())
-        heads = batch.column(5).flatten()
-        head, lead = heads.field("rep").to_numpy(), _matrix(heads.field("sig"))
-        same = np.concatenate([(sig[owner[a : a + 8192]] == lead[a : a + 8192]).sum(1) for a in range(0, len(owner), 8192)] or [np.zeros(0, int)])
-        near = np.flatnonzero(same >= CANDIDATE * COORDINATES)
-        near = near[np.unique(owner[near], return_index=True)[1]]
-        leader, none = np.zeros(len(rep), np.int64), np.ones(len(rep), bool)
-        leader[owner[near]], none[owner[near]] = head[near], False
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(leader, mask=none)], names=["node", "tree", "rep", "count", "leader"])
+def _selected(level: int, similarity: float):
+    """Children of a node in DataFrame functions: under one coordinate of its signature, or under two."""
+    pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES)).cast("int")
+    first, second = pick(1), pick(2)
+    if 2 * level + 1 < OWN:
+        first, second = F.col("tree").cast("int") * OWN + 2 * level, F.col("tree").cast("int") * OWN + 2 * level + 1
+    child = lambda c: F.xxhash64("node", c, F.get("sig", c))
+    two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * (1 / similarity - 1))
+    return F.when(two & (first != second), F.array(child(first), child(second))).otherwise(F.array(child(first)))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,70 +210,37 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(*rest)
 
 
-def settled(reps: DataFrame, similarity: float, trees: int, leaf: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``reps`` without those that are close to a leader of a large node, and links (a, b) of these to their leaders.
-
-    One tree after the other, until hardly any document leaves: a large group of copies would stay together in every tree.
-    A document leaves only for a leader ahead of it in one fixed order, so of any group one stays. Whatever is a partner of
-    one that left is still a candidate of its leader, as both are so close.
-    """
-    rank = F.xxhash64(F.lit(9), "rep").alias("rank")
-    links: list[DataFrame] = []
-    for t in range(trees):
-        rows = reps.select("rep", "sig").mapInArrow(_first_nodes(range(t, t + 1), similarity), NODES)
-        large = rows.groupBy("node").agg(F.count("*").alias("count")).where(F.col("count") > leaf).select("node")
-        rows = stored(rows.join(spread(large, "node").hint("merge"), "node").select("node", "rep"))
-        if not rows.take(1):
-            break
-        full = rows.join(reps.select("rep", "sig"), "rep").select("node", "rep", rank, "sig")
-        leader = lambda k: F.min_by(F.struct("rep", "rank", "sig"), F.struct(F.pmod("rank", F.lit(k)), "rank", "rep")).alias(f"l{k}")
-        heads = full.groupBy("node").agg(*[leader(k) for k in LEADERS])
-        heads = heads.select("node", F.array_distinct(F.array(*[f"l{k}" for k in LEADERS])).alias("leaders"))
-        met = full.join(spread(heads, "node").hint("merge"), "node").select("rep", "rank", "sig", "leaders").mapInArrow(_settle, "rep long, leader long")
-        gone = stored(met.groupBy("rep").agg(F.min("leader").alias("leader")))
-        links.append(gone.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
-        left = gone.count()
-        if left:
-            reps = stored(reps.join(gone.select("rep").hint("merge"), "rep", "left_anti"))
-        if left <= leaf:
-            break
-    return reps, links
-
-
 def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Links (a, b) that join candidates; ``reps`` has rep and sig, each set once."""
-    reps, links = settled(reps.select("rep", "sig"), similarity, trees, leaf)
-    rows = stored(reps.mapInArrow(_first_nodes(range(trees), similarity), NODES)).withColumn("parent", F.lit(1 << 60).cast("long"))
-    small, level = [], START
-    mark = [F.bit_xor(F.xxhash64(F.lit(k), "rep")).alias(f"m{k}") for k in (1, 2)]
+    rows = stored(reps.select("rep", "sig").mapInArrow(_first_nodes(range(trees), similarity), NODES))
+    counts = rows.groupBy("node").count().where("count > 1")
+    live = rows.join(spread(counts, "node").hint("merge"), "node")
+    live = stored(live.join(reps, "rep").select("node", "tree", "rep", "sig", "count", F.lit(1 << 60).cast("long").alias("parent")))
+    leaves, level = [], START
     while True:
-        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("count"), F.first("parent").alias("parent"), *mark).where("count > 1"))
-        # nodes of the same documents, as copies make them in every tree, are compared once
-        once = sizes.where(F.col("count") <= leaf).groupBy("count", "m1", "m2").agg(F.min("node").alias("node")).select("node")
-        small.append(stored(rows.select("node", "rep").join(spread(once, "node").hint("merge"), "node")))
-        large = sizes.where(F.col("count") > leaf).select("node", "count", (F.col("count") >= STUCK * F.col("parent")).alias("stuck"))
-        if not large.take(1):
+        leaves.append(live.where(F.col("count") <= leaf).select("node", "rep", "sig"))
+        big = live.where(F.col("count") > leaf)
+        if not big.take(1):
             break
-        big = stored(rows.select("node", "tree", "rep").join(spread(large, "node").hint("merge"), "node"))
-        free = big.where("NOT stuck").drop("stuck")
-        if (stuck := big.where("stuck")).take(1):
-            full = stuck.join(reps, "rep").select("node", "tree", "rep", "count", "sig")
-            leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
-            heads = full.groupBy("node").agg(*[leader(k) for k in range(4)]).select("node", F.array_distinct(F.array(*[f"l{k}" for k in range(4)])).alias("leaders"))
-            met = stored(full.join(spread(heads, "node").hint("merge"), "node").select(*full.columns, "leaders").mapInArrow(_meet, NODES + ", count long, leader long"))
-            links.append(met.where("leader <> rep").select(F.col("rep").alias("a"), F.col("leader").alias("b")))
-            free = free.unionByName(met.where("leader IS NULL").drop("leader"))
-        at = free.groupBy("rep").agg(F.collect_list(F.struct("node", "tree", "count")).alias("at"))
-        rows = stored(reps.join(at.hint("merge"), "rep").select("rep", "sig", "at").mapInArrow(_next_nodes(level, similarity), NODES + ", parent long"))
+        stuck = F.col("count") >= STUCK * F.col("parent")
+        leaves += _chunked(big.where(stuck), leaf)
+        grown = big.where(~stuck).select("rep", "tree", "sig", F.col("count").alias("parent"), F.explode(_selected(level, similarity)).alias("node"))
+        sizes = grown.groupBy("node").count().where("count > 1")
+        live = stored(grown.join(spread(sizes, "node").hint("merge"), "node").select("node", "tree", "rep", "sig", "count", "parent"))
         level += 1
-    union = small[0]
-    for more in small[1:]:
+    union = leaves[0]
+    for more in leaves[1:]:
         union = union.unionByName(more)
-    union = union.distinct().join(reps.hint("merge"), "rep").select("node", "rep", "sig")
-    found = union.repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long")
-    for more in links:
-        found = found.unionByName(more)
-    return found.distinct()
+    return union.dropDuplicates(["node", "rep"]).repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long").distinct()
+
+
+def _chunked(rows: DataFrame, leaf: int) -> list[DataFrame]:
+    """Nodes that hardly shrink, dealt into chunks of ``leaf`` documents that share leaders."""
+    leader = lambda k: F.min_by(F.struct("rep", "sig"), F.xxhash64(F.lit(k), "node", "rep")).alias(f"l{k}")
+    heads = rows.groupBy("node").agg(F.first("count").alias("n"), *[leader(k) for k in range(4)]).select("node", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(4)]))).alias("l"))
+    chunks = lambda n: F.ceil(n / leaf).cast("long")
+    every = heads.select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks(F.col("n")) - 1), lambda c: F.xxhash64("node", c))).alias("node"), "l.rep", "l.sig")
+    return [every, rows.select(F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), chunks(F.col("count")))).alias("node"), "rep", "sig")]
 
 
 # --- confirmation -----------------------------------------------------------------------------------------------------
@@ -449,7 +377,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if twice:
         links = links.unionByName(filled.select("id", "rep").distinct().join(several.where("a <> b").select("id", "a"), "id").select("a", F.col("rep").alias("b")))
     comp = components(links)
-    of = reps.select("rep", "id").join(comp.select(F.col("id").alias("rep"), "component"), "rep")
+    of = (reps if twice else clusters).select("rep", "id").join(comp.select(F.col("id").alias("rep"), "component"), "rep")
     least = of.groupBy("component").agg(F.min("id").alias("least"))
     final = of.join(spread(least, "component").hint("merge"), "component").select("rep", "least")
     final = reps.select("rep", "id").join(final, "rep", "left").select("rep", F.coalesce("least", "id").alias("component_id"))
