@@ -540,7 +540,7 @@ def test_recall_in_a_large_node(spark):
     sig = np.where(rnd.random((n, neardup.COORDINATES)) < 0.55, common, rnd.integers(-30000, 30000, (n, neardup.COORDINATES), dtype=np.int16))
     sig[pairs : 2 * pairs] = np.where(rnd.random((pairs, neardup.COORDINATES)) < 0.87, sig[:pairs], sig[pairs : 2 * pairs])
     sig[2 * pairs : 4 * pairs] = np.where(rnd.random((2 * pairs, neardup.COORDINATES)) < 0.97, sig[2 * pairs], sig[2 * pairs : 4 * pairs])  # a large group of copies
-    reps = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sig)], "rep long, sig array<short>")
+    reps = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sig)], "rep long, sig binary")
     from tickloom.llm.components import components
 
     comp = {r.id: r.component for r in components(neardup.candidate_links(reps)).collect()}

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import FOLD_AZ, Words, byte_table, map_text, mix, spread, stored, window_hashes
+from .common import FOLD_AZ, Words, byte_table, flat, map_text, mix, spread, stored, window_hashes
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 85, 100
@@ -40,7 +40,7 @@ COORDINATES, TREES, OWN, START, LEAF = 128, 14, 8, 2, 48
 #: A large node that keeps this share of its parent holds mostly documents that are candidates of one another and of leaders.
 STUCK = 0.7
 #: Documents, and shingles of all of them, that are confirmed together.
-CHUNK, CHUNK_SHINGLES = 256, 1 << 19
+CHUNK, CHUNK_SHINGLES = 600, 1 << 20
 #: Share of equal coordinates from which a pair is a candidate: the threshold less six standard deviations.
 CANDIDATE = 0.66
 #: Word bytes: all but space and 09-0D.
@@ -89,7 +89,7 @@ def signatures(sets: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-SKETCH = T.StructType([T.StructField("n_shingles", T.LongType(), False), T.StructField("set1", T.LongType(), False), T.StructField("set2", T.LongType(), False), T.StructField("sig", T.ArrayType(T.ShortType(), False), False)])
+SKETCH = T.StructType([T.StructField("n_shingles", T.LongType(), False), T.StructField("set1", T.LongType(), False), T.StructField("set2", T.LongType(), False), T.StructField("sig", T.BinaryType(), False)])
 
 
 def sketches(docs: DataFrame, keep: list[str], text: str = "text", n: int = SHINGLE) -> DataFrame:
@@ -102,8 +102,8 @@ def sketches(docs: DataFrame, keep: list[str], text: str = "text", n: int = SHIN
             total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(sets + np.uint64(salt)), dtype=np.uint64)))
             sums.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
         sig = signatures(sets, at)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(offs), dtype=np.int32) * COORDINATES), pa.array(sig.ravel()))
-        return [np.diff(at), *sums, lists]
+        rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * COORDINATES), len(sig), [None, pa.py_buffer(sig.tobytes())])
+        return [np.diff(at), *sums, rows.cast(pa.binary())]
 
     return map_text(docs, text, keep, SKETCH, kernel)
 
@@ -130,7 +130,7 @@ def branch(node: np.ndarray, tree: np.ndarray, level: int, sig: np.ndarray, simi
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
-    return col.flatten().to_numpy().reshape(-1, COORDINATES)
+    return flat(col)[0].view(np.int16).reshape(-1, COORDINATES)
 
 
 def _first_nodes(trees: range, similarity: float):
@@ -157,7 +157,7 @@ def _selected(level: int, similarity: float):
     first, second = pick(1), pick(2)
     if 2 * level + 1 < OWN:
         first, second = F.col("tree").cast("int") * OWN + 2 * level, F.col("tree").cast("int") * OWN + 2 * level + 1
-    child = lambda c: F.xxhash64("node", c, F.get("sig", c))
+    child = lambda c: F.xxhash64("node", c, F.substring(F.col("sig"), 2 * c + 1, 2))
     two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * (1 / similarity - 1))
     return F.when(two & (first != second), F.array(child(first), child(second))).otherwise(F.array(child(first)))
 
@@ -303,10 +303,10 @@ def _confirm(numerator: int, denominator: int):
     def run(rows: pa.Table) -> pa.Table:
         rep, ask = rows.column("rep").to_numpy(), rows.column("ask").to_numpy()
         lists = rows.column("shingles").combine_chunks()
-        flat, at = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+        all_sets, at = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
         _, first = np.unique(rep[np.argsort(~ask, kind="stable")], return_index=True)
         first = np.argsort(~ask, kind="stable")[first]  # each document once, as one that asks if it does
-        sets = [flat[at[i] : at[i + 1]] for i in first]
+        sets = [all_sets[at[i] : at[i + 1]] for i in first]
         rep, ask = rep[first], ask[first]
         found = linked_sets(sets, np.flatnonzero(ask) if ask.any() else None, numerator, denominator) if len(sets) > 1 else []
         return pa.table({"a": pa.array([int(rep[i]) for i, _ in found], pa.int64()), "b": pa.array([int(rep[j]) for _, j in found], pa.int64())})
