@@ -85,7 +85,8 @@ def signatures(sets: np.ndarray, offs: np.ndarray) -> np.ndarray:
     if len(filled):
         spread, starts = mix(sets), offs[:-1][filled]
         for k in range(COORDINATES):
-            out[filled, k] = (np.minimum.reduceat(spread * _ODD[k], starts) >> np.uint64(48)).astype(np.uint16).view(np.int16)
+            # the minimum of a large set begins with zeros, so it is spread again before it is cut
+            out[filled, k] = (mix(np.minimum.reduceat(spread * _ODD[k], starts)) >> np.uint64(48)).astype(np.uint16).view(np.int16)
     return out
 
 
