@@ -33,6 +33,8 @@ from .common import held_out, map_text, remainder
 PER_LANG, SAMPLE_CHARS = 40, 24_000
 #: Symbols that are parsed side by side with others, and of these how many at the front are known to a parse from before.
 BLOCK, HEAD = 768, 192
+#: Distinct languages up to which their counts are broadcast.
+BROADCAST_LANGS = 10_000
 #: Bytes of text in a batch: many blocks share each numpy step.
 BATCH_BYTES = 2 << 20
 
@@ -260,6 +262,8 @@ def fit(docs: DataFrame, mod: int = 3, held: int = 1, per_lang: int = PER_LANG)
     """Two passes: labelled rows per language are counted, then rows of small id hash are taken, ``per_lang`` at most."""
     base = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & (remainder("doc_id", mod) != held))
     counts = base.groupBy("lang").count()
+    if counts.count() <= BROADCAST_LANGS:  # one row for each; a join by shuffle would gather a language in a task
+        counts = F.broadcast(counts)
     share = F.least(F.lit(1.0), 4.0 * per_lang / F.col("count"))
     # a hash threshold leaves a few rows per language before any ordering, so no language fills a task
     few = base.join(counts, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
