@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.config import DAY, DEFAULT, BarConfig
 from ..functions.hooks import NONE, Hooks
+from ..sources import sinks
 from . import bars as bars_, footprint, indicators, profile
 
 BAR = [*DAY, "bar_idx"]
@@ -171,6 +172,20 @@ def state_vector(bars: DataFrame, closed: DataFrame) -> DataFrame:
     return bars.select(*BAR, "open", "high", "low", "close", "barTotalVolume").join(closed.select(*BAR, *mine), BAR)
 
 
+def contract_start(ticks: DataFrame) -> DataFrame:
+    """Per contract the price of its first tick, which seeds its first week. Raises where there is no tick at all."""
+    first = ticks.groupBy("contract").agg(F.min_by("Price", F.struct("DateTime", "id")).alias("seed"), F.min("trade_date").alias("start"))
+    if not first.take(1):
+        raise ValueError("a contract without ticks has no start")
+    return first
+
+
+def contract_documents(ticks: DataFrame, config: BarConfig = DEFAULT, hooks: Hooks = NONE) -> DataFrame:
+    """Nested documents of all contracts, after the hooks of bars, sessions, weeks and contracts."""
+    contract_start(ticks)
+    return hooks.contracts(sinks.nested_contracts(*documents(ticks, config, hooks)))
+
+
 def documents(ticks: DataFrame, config: BarConfig = DEFAULT, hooks: Hooks = NONE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Flat bars (with week_no), sessions and weeks of a contract's document, after the hooks of each level."""
     labelled = bars_.label(ticks, config).persist()

@@ -533,6 +533,72 @@ def sqlite_roundtrip(spark, d):
     return shown(spark.read.format("sqlite").option("path", path).option("rows", 2000).load().where(clean.is_contract_table()).select("contract", "id", "Price", "AskVolume", "BidVolume"))
 
 
+@registered(_simple("contract id:i Price:n AskVolume:i BidVolume:i", "(SELECT 'early' AS contract, id, Price, AskVolume, BidVolume FROM ticks WHERE id % 2 = 0 UNION ALL SELECT 'late', id, Price, AskVolume, BidVolume FROM ticks WHERE id % 2 = 1)", "ticks"))
+def parquet_folder_to_sqlite(spark, d):
+    """A table for each file of a folder, written twice: the second writing replaces the first."""
+    base = _folder(spark, "folder").removeprefix("file://")
+    t = _ticks(spark, d).select("id", "Price", "AskVolume", "BidVolume")
+    for name, odd in (("late", 1), ("early", 0)):
+        t.where(F.col("id") % 2 == odd).write.parquet(f"{base}/in/{name}.parquet")
+    for _ in range(2):
+        if sqlite.write_folder(spark, f"{base}/in", f"{base}/all.db") != ["early", "late"]:
+            raise ValueError("files are not in the order of their paths")
+    back = spark.read.format("sqlite").option("path", f"{base}/all.db").load()
+    return shown(back.select("contract", "id", "Price", "AskVolume", "BidVolume"))
+
+
+@registered(_simple("contract id:i Price:n", "ticks", "ticks"))
+def sqlite_append(spark, d):
+    """The first chunk replaces a table, the others are appended."""
+    path = _folder(spark, "append").removeprefix("file://") + ".db"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    sqlite.register(spark)
+    t = _ticks(spark, d).select("id", "Price")
+    for k, mode in enumerate(("overwrite", "overwrite", "append", "append")):
+        t.where(F.col("id") % 3 == max(0, k - 1)).write.format("sqlite").option("path", path).option("table", "ESH4_TICK").mode(mode).save()
+    return shown(spark.read.format("sqlite").option("path", path).load().select("contract", "id", "Price"))
+
+
+@registered(query("SELECT file_stem, CAST(count(*) AS BIGINT) AS n, CAST(min(id) AS BIGINT) AS first_id FROM (SELECT CASE WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END AS file_stem, id FROM ticks) GROUP BY 1", "ticks"))
+def folder_scan(spark, d):
+    """All files of a folder in the order of paths, with the stem of the file of each row."""
+    path = _folder(spark, "scan")
+    t = _ticks(spark, d).select("id")
+    for name, odd in (("odd", 1), ("even", 0)):
+        t.where(F.col("id") % 2 == odd).write.parquet(f"{path}/{name}.parquet")
+    parts = [spark.read.parquet(*files).withColumn("file_stem", F.lit(stem)) for stem, files in ticks_.files_by_stem(spark, path).items()]
+    return shown(parts[0].unionByName(parts[1]).groupBy("file_stem").agg(F.count("*").alias("n"), F.min("id").alias("first_id")))
+
+
+@registered(_simple(KEYS + "startTime endTime open:n high:n low:n close:n barTotalVolume:i n_levels:i", "bars JOIN (SELECT contract, trade_date, bar_idx, count(*) AS n_levels FROM levels GROUP BY ALL) USING (contract, trade_date, bar_idx)", "bars", "levels"))
+def flat_parquet_roundtrip(spark, d):
+    """The flat bar table with its 50 columns written as Parquet and read again."""
+    path = _folder(spark, "bars-flat")
+    flat = features.bars_flat(_ticks(spark, d))
+    sinks.write_flat(flat, path)
+    back = spark.read.parquet(path)
+    if [c for c in back.columns if c not in BAR] != features.FLAT:
+        raise ValueError("columns of the flat table have changed")
+    return shown(back.select(*BAR, "startTime", "endTime", "open", "high", "low", "close", "barTotalVolume", F.size("footprint").alias("n_levels")))
+
+
+@registered(query("SELECT contract, round(min_by(Price, struct_pack(a := DateTime, b := id)), 6) + 0.0E0 AS seed, strftime(min(trade_date), '%Y-%m-%d') AS start FROM ticks GROUP BY 1", "ticks"))
+def contract_start(spark, d):
+    return shown(features.contract_start(_ticks(spark, d)))
+
+
+@registered(query("SELECT contract AS contractName, CAST(count(DISTINCT week_no) AS BIGINT) AS n_weeks, CAST(count(*) AS BIGINT) AS n_bars, CAST(count_if(delta > 0) AS BIGINT) AS n_rising FROM bars GROUP BY 1", "bars"))
+def contract_hooks(spark, d):
+    """Hooks of bars and contracts: bars get a column, contracts a summary of it."""
+    from ..functions.hooks import Hooks
+
+    bar = lambda b: F.aggregate("weeks", F.lit(0).cast("long"), lambda s, w: s + F.aggregate(w["days"], F.lit(0).cast("long"), lambda t, x: t + b(x["bars"])))
+    hooks = Hooks(bars=lambda b: b.withColumn("rising", F.col("delta") > 0), contracts=lambda c: c.select(
+        "contractName", F.size("weeks").alias("n_weeks"), bar(F.size).alias("n_bars"), bar(lambda b: F.size(F.filter(b, lambda x: x["rising"]))).alias("n_rising")))
+    t = _ticks(spark, d)
+    return shown(features.contract_documents(t, hooks=hooks))
+
+
 # --- episodes, streams, samples ---------------------------------------------------------------------------------------
 
 

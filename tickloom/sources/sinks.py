@@ -50,6 +50,11 @@ def write_nested_parquet(flat: DataFrame, path: str) -> None:
     nested_contracts(flat.select(*DAY, "bar_idx", "week_no", *basic, "dayOfTheWeek", "weekOfTheContract")).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
+def write_flat(flat: DataFrame, path: str) -> None:
+    """The flat bar table as Snappy Parquet; the footprint stays a list column."""
+    flat.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
 def write_json(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").json(path)
 

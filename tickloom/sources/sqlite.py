@@ -17,6 +17,8 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from .ticks import files_by_stem
+
 _TYPES = {"INTEGER": T.LongType(), "INT": T.LongType(), "BIGINT": T.LongType(), "REAL": T.DoubleType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}
 
 
@@ -64,8 +66,8 @@ class SqliteReader(DataSourceReader):
             have = {r[1] for r in db.execute(f"PRAGMA table_info({_quoted(partition.table)})")}
             cols = ", ".join(_quoted(n) if n in have else f"NULL AS {_quoted(n)}" for n in self.names)
             for row in db.execute(f"SELECT {cols} FROM {_quoted(partition.table)} WHERE rowid >= ? AND rowid < ? ORDER BY rowid", (partition.low, partition.high)):
-                values = dict(zip(self.names, row), contract=partition.table)
-                yield tuple(values[n] for n in self.order)
+                values = iter(row)
+                yield tuple(partition.table if n == "contract" else next(values) for n in self.order)
 
 
 @dataclasses.dataclass
@@ -133,5 +135,18 @@ class SqliteSource(DataSource):
         return SqliteWriter(schema, self.options, overwrite)
 
 
+def write_folder(spark: SparkSession, folder: str, path: str) -> list[str]:
+    """Every Parquet file of a folder, in the order of paths, as a table of the database named by the file's stem.
+
+    A table that exists is replaced; files without rows make an empty table. Returns the names of the tables.
+    """
+    register(spark)
+    names = []
+    for name, files in files_by_stem(spark, folder).items():
+        spark.read.parquet(*files).write.format("sqlite").option("path", path).option("table", name).mode("overwrite").save()
+        names.append(name)
+    return names
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(SqliteSource)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 #: Smallest seen price of the derived walk.
@@ -71,6 +73,17 @@ def read_sorted_folder(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("*", F.regexp_extract("_metadata.file_name", r"^(.*?)(?:-[0-9a-f-]{20,}.*)?\.[^.]*(?:\.parquet)?$", 1).alias("file_stem"))
 
 
+def files_by_stem(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Paths of the Parquet files of a folder in order, by the stem of their names (that of the folder for a written one)."""
+    paths = sorted(spark.read.parquet(f"{folder}/*.parquet").inputFiles())
+    out: dict[str, list[str]] = {}
+    for path in paths:
+        parts = unquote(path).split("/")
+        name = parts[-2] if parts[-2].endswith(".parquet") else parts[-1]
+        out.setdefault(name.removesuffix(".parquet"), []).append(unquote(path))
+    return out
+
+
 def sample_data(spark: SparkSession, files: int = 2, rows: int = 10_000, seed: int = 7) -> DataFrame:
     """(file, id, value, category): random values in [0, 1) and categories A, B, C; file i has ids i * rows and up."""
     df = spark.range(files * rows)
