@@ -71,10 +71,12 @@ def label(ticks: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
                 for acc, x in zip(out, state.feed((batch.column(0)[a].as_py(), batch.column(1)[a].as_py()), prices[a:b])):
                     acc.extend(x)
             made = [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2]), pa.array(out[3])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "bar_idx", "seq", "is_open", "is_change"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], *made], names=[*batch.schema.names[:7], "bar_idx", "seq", "is_open", "is_change"])
 
-    flow = ticks.select("contract", "trade_date", "id", "DateTime", "Price", "AskVolume", "BidVolume")
-    return flow.repartition(*DAY).sortWithinPartitions(*DAY, "id").mapInArrow(run, LABELLED)
+    # a window's distribution and order, which ticks that a window has made already have, instead of a shuffle in any case
+    row = F.row_number().over(Window.partitionBy(*DAY).orderBy("id"))
+    flow = ticks.select("contract", "trade_date", "id", "DateTime", "Price", "AskVolume", "BidVolume", row.alias("seq"))
+    return flow.mapInArrow(run, LABELLED)
 
 
 def bars(labelled: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:

@@ -46,8 +46,9 @@ def levels(labelled: DataFrame, config: BarConfig = DEFAULT) -> DataFrame:
 
 def bar_poc(labelled: DataFrame) -> DataFrame:
     """Price of most volume in a bar; of equal ones that which had it first. Without volume 0.0."""
-    run = F.sum(F.col("AskVolume") + F.col("BidVolume")).over(Window.partitionBy(*BAR, "Price").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
-    t = labelled.select(*BAR, "Price", "seq", run.alias("v"))
+    v = F.col("AskVolume") + F.col("BidVolume")
+    # a price has all of its volume from its last tick with any on, and none from its first one
+    t = labelled.groupBy(*BAR, "Price").agg(F.sum(v).alias("v"), F.coalesce(F.max(F.when(v > 0, F.col("seq"))), F.min("seq")).alias("seq"))
     best = t.groupBy(*BAR).agg(F.max_by(F.struct("Price", "v"), F.struct(F.col("v"), -F.col("seq"))).alias("m"))
     return best.select(*BAR, F.when(F.col("m.v") > 0, F.col("m.Price")).otherwise(F.lit(0.0)).alias("barPOCPrice"), F.col("m.v").alias("barPOCVol"))
 
