@@ -215,13 +215,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, he
     counts = {r.y: r["count"] for r in base.groupBy("y").count().collect()}
     cut = {y: whole * 2 * per_class // n for y, n in counts.items()}
     found: dict[int, list[tuple[int, str]]] = {}
+    expected = 2 * per_class  # labelled rows of a class below the cut
     while cut:
         near = base.where(F.coalesce(*[F.when((F.col("y") == y) & (F.col("h") < c), F.lit(True)) for y, c in cut.items()], F.lit(False))).dropDuplicates()
+        near = F.broadcast(near) if expected <= 100_000 else near  # some 32 bytes a row
         pairs = texts.where(F.col("h") < max(cut.values())).drop("h").join(near, "doc_id").dropDuplicates(["y", "doc_id", "text"])
         first = [pairs.where(F.col("y") == y).orderBy("h", "text").limit(per_class) for y in cut]
         for y, part in zip(cut, first):
             found[y] = sorted((r.h, r.text) for r in part.collect())
-        cut = {y: 16 * c for y, c in cut.items() if len(found[y]) < per_class and c < whole}
+        cut, expected = {y: 16 * c for y, c in cut.items() if len(found[y]) < per_class and c < whole}, 16 * expected
     share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
     return [(y, text) for y in (0, 1) for _, text in found.get(y, [])], share
 
