@@ -50,6 +50,33 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def tangled(rnd):
+    ids = rnd.sample(range(-5000, 5000), 300)
+    star = rnd.sample(range(10_000, 20_000), 60)
+    return list(zip(ids, ids[1:])) + [(star[0], k) for k in star[1:]] + [(rnd.randrange(30_000, 30_100), rnd.randrange(30_000, 30_100)) for _ in range(60)], min(ids), min(star)
+
+
+def test_components_of_few_links_take_one_task(spark, monkeypatch):
+    """As many rounds over all cores as the longest chain needs took too long where partitions are many."""
+    import tickloom.llm.components as module
+
+    tables, real = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, *a: tables.append(df) or real(df, *a))
+    edges, low, middle = tangled(random.Random(4))
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[i] for i in got if i < 5000} == {low} and {got[i] for i in got if 10_000 <= i < 20_000} == {middle}
+    assert len(tables) <= 2
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_of_links_beyond_a_task(spark, kind):
+    edges, *_ = tangled(random.Random(5))
+    df = spark.createDataFrame(edges, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind))
+    whole = sorted(components(df).collect())
+    assert sorted(components(df, part=24).collect()) == whole
+    assert len(whole) == len({x for a, b in edges if a != b for x in (a, b)}) and len({r.component for r in whole if int(r.id) < 5000}) == 1
+
+
 def embeddings(seed=5):
     rnd = np.random.default_rng(seed)
     rows = []

@@ -212,7 +212,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """Links (a, b) that join candidates; ``reps`` has rep and sig, each set once."""
+    """Links (a, b) that join candidates, some of them repeated; ``reps`` has rep and sig, each set once."""
     rows = stored(reps.select("rep", "sig").mapInArrow(_first_nodes(range(trees), similarity), NODES))
     counts = rows.groupBy("node").count().where("count > 1")
     live = rows.join(spread(counts, "node").hint("merge"), "node")
@@ -232,7 +232,8 @@ def candidate_links(reps: DataFrame, similarity: float = NUMERATOR / DENOMINATOR
     union = leaves[0]
     for more in leaves[1:]:
         union = union.unionByName(more)
-    return union.dropDuplicates(["node", "rep"]).repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long").distinct()
+    # a leader may stand twice in its chunk, which adds no link
+    return union.repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a long, b long")
 
 
 def _chunked(rows: DataFrame, leaf: int) -> list[DataFrame]:
