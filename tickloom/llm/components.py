@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import spread, stored
 
-#: Links that a task holds at once.
+#: Links that one task settles; rounds over all cores go on while there are more.
 PART = 1 << 20
 
 
@@ -32,42 +32,33 @@ def smallest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             label = label[label]
 
 
-def _stars(centres: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The links (a, b) of a partition to stars around its smallest ids; with ``centres`` these have rows as well."""
-        rows = [x for x in batches if x.num_rows]
-        if not rows:
-            return
-        links = pa.Table.from_batches(rows)
-        names = links.schema.names
-        ids, at = np.unique(np.concatenate([links.column(i).to_numpy() for i in range(2)]), return_inverse=True)
-        label = smallest(at[: links.num_rows], at[links.num_rows :], len(ids))
-        keep = np.arange(len(ids)) if centres else np.flatnonzero(label != np.arange(len(ids)))
-        kinds = links.schema.types
-        for some in np.array_split(keep, max(1, len(keep) >> 16)):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some], kinds[0]), pa.array(ids[label[some]], kinds[1])], names=["id", "component"] if centres else names)
-
-    return run
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links (a, b) to rows (id, component)."""
+    rows = [x for x in batches if x.num_rows]
+    if not rows:
+        return
+    links = pa.Table.from_batches(rows)
+    kind = links.schema.types[0]
+    ids, at = np.unique(np.concatenate([links.column(i).to_numpy() for i in range(2)]), return_inverse=True)
+    label = smallest(at[: links.num_rows], at[links.num_rows :], len(ids))
+    for some in np.array_split(np.arange(len(ids)), max(1, len(ids) >> 16)):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some], kind), pa.array(ids[label[some]], kind)], names=["id", "component"])
 
 
 def components(edges: DataFrame, rounds: int = 60, part: int = PART) -> DataFrame:
     """(id, component) of every id in the links (a, b); component is the smallest id that can be reached.
 
-    Links are dealt out, at most ``part`` to a task, and each task makes stars of its own around the smallest ids. Where one
-    task holds all links, these are the components. Else large-star and small-star follow, and so on until the links are
-    stars or fit a task. Stars group with partial minima, and every step writes its links, so neither lineage nor a hot
-    centre's neighbours gather in one place. Null ends, loops and repeated links are ignored; no links give no rows.
+    Alternates large-star and small-star until the links are stars around the smallest ids, or at most ``part``, which one
+    task settles. Every step groups with partial minima and writes its links, so neither lineage nor a hot centre's
+    neighbours gather in one place. Null ends, loops and repeated links are ignored; no links give no rows.
     """
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
     links = stored(links)
     kind = links.schema["a"].dataType.simpleString()
-    before = (links.count(),)
+    before = _mark(links)
     for _ in range(rounds):
-        if before[0] > part:
-            links = stored(links.repartition(-(-before[0] // part)).mapInArrow(_stars(False), links.schema))
-            before = _mark(links)
         if before[0] <= part:
-            return stored(links.repartition(1).mapInArrow(_stars(True), f"id {kind}, component {kind}"))
+            return stored(links.repartition(1).mapInArrow(_settle, f"id {kind}, component {kind}"))
         # large-star: every larger neighbour goes to the smallest of the node and its neighbours
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
